@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from farfield.llm.common import table
 from farfield.llm.exact_dedup import exact_dedup
 from farfield.llm.mixing import mix_sources
+from farfield.llm.packing import pack
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +25,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mix, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_pack, op5_mix, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
