@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from farfield.llm.common import table
+from farfield.llm.edit_counts import edit_counts
 from farfield.llm.exact_dedup import exact_dedup
+from farfield.llm.html_text import extract_pages
 from farfield.llm.mixing import mix_sources
 from farfield.llm.packing import pack
+from farfield.llm.quality import judge
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,12 +23,24 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op5_mix, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_pack, op5_mix, op6_html, op8_quality, op9_edit_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
