@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farfield.llm.common import table
 from farfield.llm.edit_counts import edit_counts
+from farfield.llm.embedding_dedup import link_vectors
 from farfield.llm.exact_dedup import exact_dedup
 from farfield.llm.html_text import extract_pages
 from farfield.llm.mixing import mix_sources
@@ -19,6 +20,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -40,7 +45,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op5_mix, op6_html, op8_quality, op9_edit_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op5_mix, op6_html, op8_quality, op9_edit_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
