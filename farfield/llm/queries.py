@@ -11,6 +11,7 @@ from farfield.llm.edit_counts import edit_counts
 from farfield.llm.embedding_dedup import link_vectors
 from farfield.llm.exact_dedup import exact_dedup
 from farfield.llm.html_text import extract_pages
+from farfield.llm.lm_score import lm_scores
 from farfield.llm.mixing import mix_sources
 from farfield.llm.packing import pack
 from farfield.llm.quality import judge
@@ -32,6 +33,10 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,7 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op5_mix, op6_html, op8_quality, op9_edit_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op5_mix, op6_html, op7_lm_score, op8_quality, op9_edit_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
