@@ -15,6 +15,7 @@ from farfield.llm.lm_score import lm_scores
 from farfield.llm.mixing import mix_sources
 from farfield.llm.packing import pack
 from farfield.llm.quality import judge
+from farfield.llm.suffix_dedup import remove_repeats
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op5_mix, op6_html, op7_lm_score, op8_quality, op9_edit_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op4_suffix_dedup, op5_mix, op6_html, op7_lm_score, op8_quality, op9_edit_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
