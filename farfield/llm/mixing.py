@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,21 +20,27 @@ PART_ROWS = 50_000
 KEY = ["s_null", "s"]
 
 
-def permuted(x: Column, n: Column, *seed: Column) -> Column:
-    """A pseudorandom bijection of 0..n-1: four Feistel rounds over an a x b grid that just holds n, walked until inside.
+def grid(n: Column) -> tuple[Column, Column]:
+    """Sides of the a x b grid that just holds 0..n-1."""
+    a = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double")))).cast("long")
+    return a, F.greatest(F.lit(1), F.ceil(n / a)).cast("long")
+
+
+def permuted(x: Column, n: Column, a: Column, b: Column, *seed: Column) -> Column:
+    """A pseudorandom bijection of 0..n-1: eight Feistel half-rounds over its grid(), walked until inside.
 
     Under a cells lie outside, so a walk of 32 steps is certain to end for a <= 32 and practically so beyond; if it
-    doesn't end, the query fails rather than repeat an index.
+    doesn't end, the query fails rather than repeat an index. Each half-round is a step of aggregate(), so that its
+    state is computed once.
     """
-    a = F.ceil(F.sqrt(n.cast("double")))
-    b = F.ceil(n / a)
+
+    def half(s: Column, i: Column) -> Column:
+        side = F.when(i % 2 == 0, a).otherwise(b)
+        return F.struct(s["y"].alias("x"), F.pmod(s["x"] + F.pmod(F.xxhash64(s["y"], i, *seed), side), side).alias("y"))
 
     def step(v: Column) -> Column:
-        low, high = v % a, F.floor(v / a)
-        for i in range(4):
-            low = (low + F.pmod(F.xxhash64(high, F.lit(i), *seed), a)) % a
-            high = (high + F.pmod(F.xxhash64(low, F.lit(i), *seed), b)) % b
-        return (high * a + low).cast("long")
+        start = F.struct((v % a).cast("long").alias("x"), ((v - v % a) / a).cast("long").alias("y"))
+        return F.aggregate(F.array(*[F.lit(i) for i in range(8)]), start, half, lambda s: s["y"] * a + s["x"])
 
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(32)), step(x), lambda v, _: F.when(v < n, v).otherwise(step(v)))
     return F.when(walked < n, walked).otherwise(F.raise_error(F.lit("walk did not end")).cast("long"))
@@ -82,6 +90,7 @@ class Mix:
         found = targets(self.sized, share, most, weights)
         found = found.withColumn("blocks", F.ceil(size / block)).withColumn("rounds", F.when(size > 0, F.floor(want / size)).otherwise(0).cast("long"))
         found = found.withColumn("rest", want - F.col("rounds") * size).withColumn("slots", F.col("rounds") * F.col("blocks") + F.ceil(F.col("rest") / block))
+        found = found.withColumn("a", grid(F.col("blocks"))[0]).withColumn("b", grid(F.col("blocks"))[1])
         found = found.withColumn("first", F.coalesce(F.sum("slots").over(Window.orderBy(*KEY).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         self.sources = stored(found, "sources")
         self.total = self.sources.agg(F.sum("slots")).first()[0] or 0
@@ -91,11 +100,12 @@ class Mix:
         """One row per slot: shard, slot, s_null, s, block, words (of the block's beginning that it takes)."""
         spark, n = self.sized.sparkSession, F.lit(self.total).cast("long")
         grain = max(1, self.total // 1024)
+        a = max(1, isqrt(max(0, self.total - 1)) + 1)
         part = F.explode(F.sequence(F.floor(F.col("first") / grain), F.floor((F.col("first") + F.col("slots") - 1) / grain))).alias("grain")
         held = self.sources.where("slots > 0").select("*", part)
-        drawn = spark.range(max(0, self.total)).withColumnRenamed("id", "slot").withColumn("at", permuted(F.col("slot"), n, F.lit(self.seed))).withColumn("grain", F.floor(F.col("at") / grain))
+        drawn = spark.range(max(0, self.total)).withColumnRenamed("id", "slot").withColumn("at", permuted(F.col("slot"), n, F.lit(a), F.lit(-(-self.total // a) or 1), F.lit(self.seed))).withColumn("grain", F.floor(F.col("at") / grain))
         drawn = drawn.join(held, "grain").where("at >= first and at < first + slots").withColumn("k", F.col("at") - F.col("first"))
-        index = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.lit(self.seed + 1), F.floor(F.col("k") / F.col("blocks")), F.col("s_null"), F.col("s"))
+        index = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("a"), F.col("b"), F.lit(self.seed + 1), F.floor(F.col("k") / F.col("blocks")), F.col("s_null"), F.col("s"))
         drawn = drawn.withColumn("block", index).withColumn("length", F.least(F.lit(self.block), F.col("source_size") - F.col("block") * self.block))
         last = (F.col("k") == F.col("slots") - 1) & (F.col("rest") > 0)
         cut = F.col("rest") - (F.col("slots") - 1 - F.col("rounds") * F.col("blocks")) * self.block
