@@ -22,6 +22,8 @@ from farfield.llm.common import stored
 
 #: Bytes of text in a block, about; a longer document is a block of its own.
 BLOCK_BYTES = 4_000_000
+#: Documents in a block, at most.
+BLOCK_ROWS = 200_000
 #: Keys in a range, about.
 RANGE_KEYS = 1_500_000
 BLOCK_SCHEMA = "block long, n_bytes long, data binary"
@@ -56,7 +58,7 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents as stored blocks: block (a number of no meaning), n_bytes, data. Null texts are empty."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = TaskContext.get().partitionId() << 32
+        made = TaskContext.get().partitionId() << 20
         ids, texts, held = [], [], 0
 
         def out() -> pa.RecordBatch:
@@ -68,7 +70,7 @@ def make_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if texts and held + len(t) > size:
+                    if texts and (held + len(t) > size or len(texts) >= BLOCK_ROWS):
                         yield out()
                         made, ids, texts, held = made + 1, [], [], 0
                     ids.append(i)
@@ -143,6 +145,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Integer columns of one length, the first sorted: compressed differences and values, byte by byte."""
+    first = columns[0].astype(np.uint64)
+    sides = [np.diff(first, prepend=np.uint64(0)), *[c.astype(np.uint64) for c in columns[1:]]]
+    raw = b"".join(s.view(np.uint8).reshape(-1, 8).T.tobytes() for s in sides)
+    return zstandard.ZstdCompressor(level=1).compress(raw) if len(first) else b""
+
+
+def unpacked(data: bytes, columns: int = 1) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data) if data else b"", dtype=np.uint8).reshape(columns, 8, -1)
+    sides = [np.ascontiguousarray(r.T).view(np.uint64).reshape(-1) for r in raw] if raw.size else [np.empty(0, dtype=np.uint64)] * columns
+    return [np.cumsum(sides[0], dtype=np.uint64), *sides[1:]]
+
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}

@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farfield.llm.blocks import KEY_SCHEMA, Block, corpus_bytes, cuts, key_batch, lookup, make_blocks, mixed, over_blocks, ranges, with_answers, word_hashes
+from farfield.llm.blocks import KEY_SCHEMA, Block, corpus_bytes, cuts, key_batch, lookup, make_blocks, mixed, over_blocks, packed, range_of, ranges, unpacked, with_answers, word_hashes
 from farfield.llm.common import stored
 
 #: Bytes of context at most.
-ORDER = 4
+ORDER = 5
+PAD = bytes(ORDER)
 ALPHA = 0.1
 #: Grams that a task merges before it hands them on.
 MERGED = 2_000_000
@@ -30,13 +31,13 @@ def held_out(block: Block) -> np.ndarray:
 
 class Stream:
     """A block's documents as the model sees them: lower-cased words joined by single spaces, then an end byte (0), then
-    three more that only serve as context. starts: of the documents; coded: the positions that count."""
+    more that only serve as context. starts: of the documents; coded: the positions that count."""
 
     def __init__(self, block: Block):
         texts = [b" ".join(t.lower().split()) for t in block.texts()]
-        self.bytes = np.frombuffer(b"".join([b"\0\0\0\0", *[x for t in texts for x in (t, b"\0\0\0\0")]]), dtype=np.uint8)
+        self.bytes = np.frombuffer(b"".join([PAD, *[x for t in texts for x in (t, PAD)]]), dtype=np.uint8)
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        self.starts = 4 + np.concatenate([[0], np.cumsum(sizes + 4)[:-1]]).astype(np.int64)
+        self.starts = ORDER + np.concatenate([[0], np.cumsum(sizes + ORDER)[:-1]]).astype(np.int64)
         self.ends = self.starts + sizes  # of the end bytes
         coded = np.zeros(len(self.bytes) + 1, dtype=np.int8)
         np.add.at(coded, self.starts, 1)
@@ -47,9 +48,10 @@ class Stream:
 
     def codes(self) -> np.ndarray:
         """Of each coded position: ORDER bytes of context and the byte, as one integer."""
-        wide = self.bytes.astype(np.uint32)
-        four = wide[:-4] << 24 | wide[1:-3] << 16 | wide[2:-2] << 8 | wide[3:-1]
-        return (four.astype(CODE) << CODE(8) | self.bytes[4:].astype(CODE))[self.coded - 4]
+        wide, n = self.bytes.astype(np.uint32), len(self.bytes)
+        near = (wide[1 : n - 4] << 24 | wide[2 : n - 3] << 16 | wide[3 : n - 2] << 8 | wide[4 : n - 1])[self.coded - 5]
+        far = wide[self.coded - 5].astype(CODE) << CODE(40)
+        return far | near.astype(CODE) << CODE(8) | self.bytes[self.coded]
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words, and the document of each."""
@@ -76,7 +78,7 @@ def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return folded(both >> CODE(1), n * (both & CODE(1)).astype(np.int64))
 
 
-def gram_counts(blocks: DataFrame) -> DataFrame:
+def gram_counts(blocks: DataFrame, n_ranges: int) -> DataFrame:
     """code, n: every gram of the corpus and how often training documents hold it (0 for those of others only)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,21 +88,29 @@ def gram_counts(blocks: DataFrame) -> DataFrame:
             return folded(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
 
         def out(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], names=["code", "n"])
+            at = range_of(mixed(keys), n_ranges)
+            order = np.argsort(at, kind="stable")
+            keys, n, ends = keys[order], n[order], np.searchsorted(at[order], np.arange(n_ranges + 1))
+            return key_batch(0, {r: packed(keys[ends[r] : ends[r + 1]], n[ends[r] : ends[r + 1]]) for r in range(n_ranges)})
 
         for batch in batches:
             for data in batch.column("data"):
                 block = Block.decode(data.as_py())
                 stream = Stream(block)
                 held.append(counted(stream.codes(), np.repeat(~held_out(block), stream.sizes)))
-                if len(held) > 7:
+                if len(held) > 4:
                     held = [merged()]
                     if len(held[0][0]) > MERGED:
                         yield out(*held.pop())
         if held:
             yield out(*merged())
 
-    return stored(blocks.select("data").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "grams")
+    def merge(group: pa.Table) -> pa.Table:
+        sides = [unpacked(x.as_py(), 2) for x in group.column("data")]
+        keys, n = folded(np.concatenate([s[0] for s in sides]), np.concatenate([s[1] for s in sides]).astype(np.int64))
+        return pa.table({"code": keys.astype(np.int64), "n": n})
+
+    return stored(blocks.select("data").mapInArrow(count, KEY_SCHEMA).groupBy("range").applyInArrow(merge, "code long, n long"), "grams")
 
 
 class Suffixes:
@@ -174,19 +184,20 @@ def model(grams: DataFrame) -> DataFrame:
     return stored(grams.withColumn("part", F.pmod(F.xxhash64(suffix), F.lit(parts))).groupBy("part").applyInArrow(score, "code long, logp double"), "model")
 
 
-def gram_keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes in the order of their spread keys, and these keys."""
-    keys = mixed(codes)
-    order = np.argsort(keys)
-    return codes[order], keys[order]
+def splitters(grams: DataFrame, n: int) -> np.ndarray:
+    """Codes that cut all grams into n ranges of about equal size."""
+    if n < 2:
+        return np.empty(0, dtype=CODE)
+    found = grams.agg(F.percentile_approx("code", [k / n for k in range(1, n)], 20 * n).alias("at")).first()["at"]
+    return np.array(sorted(set(found or [])), dtype=CODE)
 
 
 def _word_task(group: pa.Table) -> pa.Table:
     """From the blocks' sorted hashes and training counts: each block's hashes' counts in all blocks, and the number
     of types in training documents, with the first."""
-    sides = [np.frombuffer(x.as_py(), dtype=np.uint64).reshape(2, -1) for x in group.column("data")]
+    sides = [unpacked(x.as_py(), 2) for x in group.column("data")]
     keys, n = folded(np.concatenate([s[0] for s in sides]), np.concatenate([s[1] for s in sides]).astype(np.int64))
-    replies = [n[np.searchsorted(keys, s[0])].astype(np.uint32 if n.max() < 1 << 32 else np.uint64).tobytes() for s in sides]
+    replies = [packed(np.zeros(len(s[0])), n[np.searchsorted(keys, s[0])]) for s in sides]
     types = [int((n > 0).sum())] + [0] * (len(sides) - 1)
     return pa.table({"block": group.column("block"), "range": group.column("range"), "data": pa.array(replies, type=pa.binary()), "types": pa.array(types, type=pa.int64())})
 
@@ -196,24 +207,24 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Learns from documents whose crc32 of the id as text isn't divisible by 10 (that of an empty text for null ids).
     Null texts are empty and have their end token. score is that of the lower-cased words joined by single spaces,
-    and the end, under a static byte model of order 4 trained on the whole training part; base_score is the smoothed
+    and the end, under a static byte model of order 5 trained on the whole training part; base_score is the smoothed
     unigram's. Words are told apart by 64-bit hashes. Rows that share an id are scored each, an empty table gives an
     empty result, other columns are ignored.
     """
     blocks = make_blocks(docs, id_col, text_col)
     size = corpus_bytes(blocks)
-    grams = model(gram_counts(blocks))
-    n_grams, n_words = ranges(size // 40), ranges(size // 40)
+    n_words = ranges(size // 40)
+    grams = model(gram_counts(blocks, n_words))
+    at_codes = splitters(grams, ranges(size // 15))
 
     def keys(k: int, block: Block) -> Iterator[pa.RecordBatch]:
         stream, train = Stream(block), ~held_out(block)
-        codes, spread = gram_keys(np.unique(stream.codes()))
-        at = cuts(spread, n_grams)
-        parts = {r: codes[at[r] : at[r + 1]].tobytes() for r in range(n_grams)}
+        codes = np.unique(stream.codes())
+        parts = dict(enumerate(map(packed, np.split(codes, np.searchsorted(codes, at_codes)))))
         hashes, owner = stream.words()
         words, n = counted(hashes >> CODE(1), train[owner])
         at = cuts(words << CODE(1), n_words)
-        parts |= {-2 - r: np.stack([words[at[r] : at[r + 1]], n[at[r] : at[r + 1]].astype(np.uint64)]).tobytes() for r in range(n_words)}
+        parts |= {-2 - r: packed(words[at[r] : at[r + 1]], n[at[r] : at[r + 1]]) for r in range(n_words)}
         parts[-1] = np.array([train.sum(), train[owner].sum()], dtype=np.int64).tobytes()
         yield key_batch(k, parts)
 
@@ -228,14 +239,14 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = batch.column("code").to_numpy().astype(CODE)
-            at = ((mixed(codes) >> CODE(32)) * CODE(n_grams) >> CODE(32)).astype(np.int32)
+            at = np.searchsorted(at_codes, codes, side="right").astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("code"), batch.column("logp")], names=["range", "code", "logp"])
 
     def gram_task(asked: pa.Table, known: pa.Table) -> pa.Table:
         codes, logp = known.column("code").to_numpy().astype(CODE), known.column("logp").to_numpy()
         order = np.argsort(codes)
         codes, logp = codes[order], logp[order].astype(np.float32)
-        replies = [logp[np.searchsorted(codes, np.frombuffer(x.as_py(), dtype=CODE))].tobytes() for x in asked.column("data")]
+        replies = [logp[np.searchsorted(codes, unpacked(x.as_py())[0])].tobytes() for x in asked.column("data")]
         return pa.table({"block": asked.column("block"), "range": asked.column("range"), "data": pa.array(replies, type=pa.binary())})
 
     by_range = grams.mapInArrow(ranged, "range int, code long, logp double")
@@ -245,16 +256,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         stream = Stream(block)
         codes = stream.codes()
         distinct = np.unique(codes)
-        asked, _ = gram_keys(distinct)
-        logp = np.empty(len(distinct))
-        logp[np.searchsorted(distinct, asked)] = np.frombuffer(b"".join(got[r] for r in sorted(r for r in got if r >= 0)), dtype=np.float32)
+        logp = np.frombuffer(b"".join(got[r] for r in sorted(r for r in got if r >= 0)), dtype=np.float32).astype(np.float64)
         scores = np.add.reduceat(logp[lookup(codes, distinct)], stream.first)
         hashes, owner = stream.words()
         words = np.unique(hashes >> CODE(1))
         replies = [got[r] for r in sorted((r for r in got if r < -1), reverse=True)]
-        at = cuts(words << CODE(1), n_words)
-        sizes = np.diff(at)
-        counts = np.concatenate([np.frombuffer(x, dtype=np.uint32 if len(x) == 4 * n else np.uint64) for x, n in zip(replies, sizes[sizes > 0].tolist(), strict=True)]).astype(np.float64) if replies else np.empty(0)
+        counts = np.concatenate([unpacked(x, 2)[1] for x in replies]).astype(np.float64) if replies else np.empty(0)
         c = counts[lookup(hashes >> CODE(1), words)] if len(hashes) else counts
         docs_ = len(block.ids)
         tail = floor + np.log10((ends + ALPHA) / ALPHA)

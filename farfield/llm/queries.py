@@ -12,6 +12,7 @@ from farfield.llm.embedding_dedup import link_vectors
 from farfield.llm.exact_dedup import exact_dedup
 from farfield.llm.html_text import extract_pages
 from farfield.llm.lm_score import lm_scores
+from farfield.llm.minhash_dedup import near_classes
 from farfield.llm.mixing import mix_sources
 from farfield.llm.packing import pack
 from farfield.llm.quality import judge
@@ -26,6 +27,10 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op4_suffix_dedup, op5_mix, op6_html, op7_lm_score, op8_quality, op9_edit_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_pack, op2_embedding_dedup, op3_minhash_dedup, op4_suffix_dedup, op5_mix, op6_html, op7_lm_score, op8_quality, op9_edit_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
