@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +106,12 @@ def bands(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_hash(text: bytes) -> int:
+    """What F.xxhash64 gives for the text."""
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 def vector_bytes(hashes: np.ndarray, weights: np.ndarray) -> bytes:
     return packed(hashes >> _U(16), weights.astype(np.float32).view(np.uint32))
 
@@ -123,7 +130,7 @@ def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray
     return low / (float(x[1].sum()) + float(y[1].sum()) - low)
 
 
-VECTORS = "uid long, id long, same long, same2 long, bands array<long>, total double, vector binary"
+VECTORS = "uid long, id long, text_hash long, same long, same2 long, bands array<long>, total double, vector binary"
 
 
 def weighted(blocks: DataFrame, similar: float) -> DataFrame:
@@ -148,19 +155,19 @@ def weighted(blocks: DataFrame, similar: float) -> DataFrame:
         df = np.concatenate([unpacked(got[r], 2)[1] for r in sorted(got)]).astype(np.float64) if got else np.empty(0)
         df = df[np.searchsorted(s.keys, s.hashes)] if len(df) else df
         weights = s.counts * (1 + IDF_SHARE * np.log((1 + n_docs) / (1 + df)) / np.log(2 + n_docs))
-        rows = []
+        rows, texts = [], block.texts()
         for i, (a, b) in enumerate(zip(s.bounds.tolist(), s.bounds[1:].tolist(), strict=False)):
             w, h = weights[a:b], s.hashes[a:b]
             total = float(w.sum())
-            row = [k << 18 | i, int(block.ids[i]) if block.known[i] else None, None, None, None, total, None]
+            row = [k << 18 | i, int(block.ids[i]) if block.known[i] else None, text_hash(texts[i]), None, None, None, total, None]
             if b > a and float(w[df[a:b] > 1].sum()) >= similar * total - 1e-6:
                 c = s.counts[a:b].astype(np.uint64)
                 same = [int(mixed(h * _K[j] + c).sum().view(np.int64)) for j in (0, 1)]
-                row[2:5] = *same, bands(h, w).view(np.int64).tolist()
-                row[6] = vector_bytes(h, w)
+                row[3:6] = *same, bands(h, w).view(np.int64).tolist()
+                row[7] = vector_bytes(h, w)
             rows.append(row)
-        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.float64(), pa.binary()]
-        return pa.table([pa.array([r[j] for r in rows], type=t) for j, t in enumerate(kinds)], names=["uid", "id", "same", "same2", "bands", "total", "vector"])
+        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.float64(), pa.binary()]
+        return pa.table([pa.array([r[j] for r in rows], type=t) for j, t in enumerate(kinds)], names=["uid", "id", "text_hash", "same", "same2", "bands", "total", "vector"])
 
     counts = answered(over_blocks(blocks, keys), _sums)
     return stored(with_answers(blocks, counts, weigh, VECTORS), "vectors", "uncompressed")
@@ -230,7 +237,8 @@ def near_links(vectors: DataFrame, similar: float = SIMILARITY) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILARITY) -> DataFrame:
-    """One row per document: id, class_id (least id of its class), kept (it is the one that stays), class_size.
+    """One row per document: id, class_id (least id of its class), kept (it is the one that stays), class_size, text_hash
+    (xxhash64, so that a row can be found again where ids are repeated or null).
 
     A class holds what links of a weighted Jaccard similarity of `similar` or more connect. Documents without words,
     null texts among them, are alone; shorter ones than SHINGLE_WORDS have one shingle. A null id counts as greater
@@ -239,8 +247,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     vectors = weighted(make_blocks(docs, id_col, text_col), similar)
     roots = components(near_links(vectors, similar)).select(F.col("id").alias("uid"), "component")
-    rows = vectors.select("uid", "id").join(roots, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
+    rows = vectors.select("uid", "id", "text_hash").join(roots, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
     rows = stored(rows, "classes")
     one = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first"), F.count("*").alias("class_size"))
-    return rows.join(one, "component").select(F.col("id").alias(id_col), F.col("first.id").alias("class_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), "class_size")
+    return rows.join(one, "component").select(F.col("id").alias(id_col), F.col("first.id").alias("class_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), "class_size", "text_hash")
 

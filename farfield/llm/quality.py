@@ -86,10 +86,10 @@ def evidence(docs: DataFrame, model: tuple[np.ndarray, float, float], id_col: st
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [float(features((t or "").encode()) @ w) + b - prior for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, type=pa.float64())], names=["id", "host", "path", "evidence"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, type=pa.float64()), batch.column(4)], names=["id", "host", "path", "evidence", "text_hash"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *[F.col(c).cast("string").alias(n) for c, n in zip(sites, ("host", "path"), strict=True)])
-    return own.mapInArrow(score, "id long, host string, path string, evidence double")
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *[F.col(c).cast("string").alias(n) for c, n in zip(sites, ("host", "path"), strict=True)], F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
+    return own.mapInArrow(score, "id long, host string, path string, evidence double, text_hash long")
 
 
 def _strength(groups: DataFrame, mean: float) -> float:
@@ -108,7 +108,7 @@ def _logit(p: Column) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", label_col: str = "quality") -> DataFrame:
-    """One row per document: id, evidence, host_mean, path_mean, quality (posterior), kept.
+    """One row per document: id, evidence, host_mean, path_mean, quality (posterior), kept, text_hash (xxhash64).
 
     A null or empty text has the evidence of an empty one; null hosts and paths are sites of their own; rows that
     share an id are judged each by its text; without labels only the sites speak, and all are kept. An empty table
@@ -131,6 +131,6 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     site = F.greatest(F.lit(-SITE_LOGIT), F.least(F.lit(SITE_LOGIT), _logit(F.col("path_mean")) - float(np.log(overall / (1 - overall)))))
     quality = 1 / (1 + F.exp(-(F.col("evidence") + model[2] + site)))
     out = own.join(means, ["host", "path"]).withColumn("quality", quality)
-    return out.select(F.col("id").alias(id_col), "evidence", "host_mean", "path_mean", "quality", (F.col("quality") >= KEEP).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "evidence", "host_mean", "path_mean", "quality", (F.col("quality") >= KEEP).alias("kept"), "text_hash")
 
 
