@@ -13,7 +13,9 @@ from farfield.llm.components import components
 COSINE = 0.93
 #: Vectors in a block, about; a task compares two blocks.
 BLOCK_ROWS = 1500
-LEAF = 48
+LEAF = 128
+#: Balls after which a net that still covers less than half of the rows is given up.
+NET = 8
 #: Room for rounding in distance bounds.
 SLACK = 1e-9
 
@@ -25,6 +27,11 @@ class Node:
         self.center, self.radius, self.rows, self.children = center, radius, rows, children
 
 
+def _leaf(unit: np.ndarray, rows: np.ndarray) -> Node:
+    center = unit[rows[0]]
+    return Node(center, float(np.sqrt(np.maximum(0, ((unit[rows] - center) ** 2).sum(1))).max()), rows, [])
+
+
 def cover_tree(unit: np.ndarray, rows: np.ndarray | None = None, radius: float | None = None) -> Node:
     """Nested covers of unit vectors: each level's balls have half the radius of the level above; leaves hold rows."""
     rows = np.arange(len(unit)) if rows is None else rows
@@ -43,10 +50,11 @@ def cover_tree(unit: np.ndarray, rows: np.ndarray | None = None, radius: float |
         left = left[~near]
         if len(left):
             dist = np.sqrt(np.maximum(0, ((unit[left] - unit[left[0]]) ** 2).sum(1)))
-        if len(children) >= 32 and len(left):
-            # a net of so many balls bounds nothing more here: the rest goes on in pieces of its own
-            children += np.array_split(left, max(1, len(left) // LEAF))
-            break
+        if len(children) >= NET and 2 * len(left) > len(rows):
+            # nothing is near to anything here: a finer net would hold single vectors, so the rest goes into leaves
+            pieces = np.array_split(np.concatenate([*[c for c in children if len(c) < LEAF // 4], left]), max(1, len(left) // LEAF))
+            kept = [cover_tree(unit, c, half) for c in children if len(c) >= LEAF // 4]
+            return Node(center, own, rows, kept + [_leaf(unit, x) for x in pieces])
     if len(children) == 1:
         return cover_tree(unit, children[0], half)
     return Node(center, own, rows, [cover_tree(unit, c, half) for c in children])
