@@ -27,7 +27,9 @@ PLACES = SPAN - LEAD + 1
 #: Splitters come from about so many sampled anchors.
 SAMPLE = 50_000
 #: Bytes of strings in a bucket, about.
-BUCKET_BYTES = 12_000_000
+BUCKET_BYTES = 6_000_000
+#: Bytes of text in a block, about: some eight arrays of that many integers are held at once.
+BLOCK = 2_000_000
 OUT = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _BASE = 0x9E3779B97F4A7C15
 NONE = np.iinfo(np.int64).min
@@ -227,7 +229,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each other's bytes. An empty table gives an empty result; other columns are ignored. Texts of any length are
     treated as a whole.
     """
-    blocks = make_blocks(docs, id_col, text_col)
+    blocks = make_blocks(docs, id_col, text_col, BLOCK)
     size = corpus_bytes(blocks)
     n_ranges = ranges(size // 16)
     sampled = max(1, size // 16 // SAMPLE)
