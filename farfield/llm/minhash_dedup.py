@@ -22,7 +22,8 @@ BAND_ROWS, BANDS = 4, 14
 BROADCAST_PAIRS = 500_000
 #: Pairs of one leader that one task compares.
 LEADER_PAIRS = 200
-ROUNDS = 1000
+#: Documents, and their words, in a part of a family that one task compares with another part, about.
+PART_ROWS, PART_WORDS = 400, 200_000
 #: How much a shingle of one document can weigh more than one of all documents.
 IDF_SHARE = 0.25
 _U = np.uint64
@@ -112,22 +113,57 @@ def text_hash(text: bytes) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def vector_bytes(hashes: np.ndarray, weights: np.ndarray) -> bytes:
-    return packed(hashes >> _U(16), weights.astype(np.float32).view(np.uint32))
+def vector_bytes(hashes: np.ndarray, idf: np.ndarray, counts: np.ndarray) -> bytes:
+    return packed(hashes >> _U(16), idf.astype(np.float32).view(np.uint32), counts)
 
 
-def vector(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    hashes, weights = unpacked(data, 2)
-    return hashes, weights.astype(np.uint32).view(np.float32).astype(np.float64)
+def vector(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, weights of one occurrence, counts."""
+    hashes, idf, counts = unpacked(data, 3)
+    return hashes, idf.astype(np.uint32).view(np.float32).astype(np.float64), counts.astype(np.int64)
 
 
-def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
+def similarity(x: tuple[np.ndarray, np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity: the sum of the smaller weights over that of the larger."""
     if not len(x[0]) or not len(y[0]):
         return 0.0
     at = np.minimum(np.searchsorted(y[0], x[0]), len(y[0]) - 1)
-    low = float(np.minimum(x[1], y[1][at])[y[0][at] == x[0]].sum())
-    return low / (float(x[1].sum()) + float(y[1].sum()) - low)
+    low = float((x[1] * np.minimum(x[2], y[2][at]))[y[0][at] == x[0]].sum())
+    return low / (float((x[1] * x[2]).sum()) + float((y[1] * y[2]).sum()) - low)
+
+
+def occurrences(vectors: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, weight and owner of every occurrence: the k-th of a shingle is a feature of its own, so that the smaller of
+    two counts is the number of features in common, and features weigh the same wherever they are."""
+    empty = np.empty(0)
+    keys, weights, owners = [empty.astype(np.uint64)], [empty], [empty.astype(np.int64)]
+    for i, (h, w, n) in enumerate(vectors):
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        keys.append(mixed(np.repeat(h, n) + nth.astype(np.uint64) * _K[1]))
+        weights.append(np.repeat(w, n))
+        owners.append(np.full(len(nth), i))
+    return np.concatenate(keys), np.concatenate(weights), np.concatenate(owners)
+
+
+def block_links(left: list[tuple], right: list[tuple], similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of left and right at or above `similar`, by postings of the features on the right."""
+    keys, weights, owners = occurrences(right)
+    order = np.argsort(keys, kind="stable")
+    keys, owners = keys[order], owners[order]
+    totals = np.bincount(owners, weights=weights[order], minlength=len(right))
+    one, two = [], []
+    for i, v in enumerate(left):
+        k, w, _ = occurrences([v])
+        lo, hi = np.searchsorted(keys, k, side="left"), np.searchsorted(keys, k, side="right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        low = np.bincount(owners[at], weights=np.repeat(w, n), minlength=len(right))
+        j = np.flatnonzero(low >= similar * (totals + w.sum() - low) - 1e-12) if len(k) else np.empty(0, dtype=np.int64)
+        j = j[low[j] > 0]
+        one.append(np.full(len(j), i))
+        two.append(j)
+    empty = [np.empty(0, dtype=np.int64)]
+    return np.concatenate(one + empty), np.concatenate(two + empty)
 
 
 VECTORS = "uid long, id long, text_hash long, same long, same2 long, bands array<long>, total double, vector binary"
@@ -154,7 +190,8 @@ def weighted(blocks: DataFrame, similar: float) -> DataFrame:
         s = Shingled(block, bits)
         df = np.concatenate([unpacked(got[r], 2)[1] for r in sorted(got)]).astype(np.float64) if got else np.empty(0)
         df = df[np.searchsorted(s.keys, s.hashes)] if len(df) else df
-        weights = s.counts * (1 + IDF_SHARE * np.log((1 + n_docs) / (1 + df)) / np.log(2 + n_docs))
+        idf = 1 + IDF_SHARE * np.log((1 + n_docs) / (1 + df)) / np.log(2 + n_docs)
+        weights = s.counts * idf
         rows, texts = [], block.texts()
         for i, (a, b) in enumerate(zip(s.bounds.tolist(), s.bounds[1:].tolist(), strict=False)):
             w, h = weights[a:b], s.hashes[a:b]
@@ -164,7 +201,7 @@ def weighted(blocks: DataFrame, similar: float) -> DataFrame:
                 c = s.counts[a:b].astype(np.uint64)
                 same = [int(mixed(h * _K[j] + c).sum().view(np.int64)) for j in (0, 1)]
                 row[3:6] = *same, bands(h, w).view(np.int64).tolist()
-                row[7] = vector_bytes(h, w)
+                row[7] = vector_bytes(h, idf[a:b], c)
             rows.append(row)
         kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.float64(), pa.binary()]
         return pa.table([pa.array([r[j] for r in rows], type=t) for j, t in enumerate(kinds)], names=["uid", "id", "text_hash", "same", "same2", "bands", "total", "vector"])
@@ -189,7 +226,7 @@ def _compared(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     heads = own.select(F.col("uid").alias("leader"), F.col("vector").alias("head")).join(near(per), "leader").select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("nth"), "head")
 
     def compare(members: pa.Table, head: pa.Table) -> pa.Table:
-        leader = vector(head.column("head")[0].as_py()) if head.num_rows else (np.empty(0), np.empty(0))
+        leader = vector(head.column("head")[0].as_py()) if head.num_rows else (np.empty(0),) * 3
         found = [similarity(vector(v.as_py()), leader) for v in members.column("vector")]
         return pa.table({"uid": members.column("uid"), "leader": members.column("leader"), "similarity": pa.array(found, type=pa.float64())})
 
@@ -197,43 +234,60 @@ def _compared(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def near_links(vectors: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """a, b: links between documents whose classes are those of all candidate pairs at or above `similar`.
+    """a, b: links whose classes are those of all candidate pairs (documents that share a band) at or above `similar`.
 
     Equal vectors are hung onto the least of them first; only these go on. In a bucket (a band's key), all members are
-    compared with the least one; those that don't link to it stay for the next round, with a leader of their own. That
-    one is compared with the others that stay, and with those that linked to an earlier leader, unless the triangle
-    inequality of the distance 1 - similarity rules a link out. So no bucket's pairs are all formed, and none is lost.
+    compared with the least one. That joins most of a group of near copies, of any size, by one comparison each. What
+    shares buckets, directly or through others, is a family; members that the star didn't join to the largest class of
+    their family are compared with all of it, part by part. Pairs within that class need no comparison, and no bucket's
+    pairs are formed as rows: a task gives at most a row per document.
     """
-    far = 1 - similar + 1e-9
     whole = vectors.where("vector is not null")
     least = whole.groupBy("same", "same2").agg(F.min("uid").alias("rep"))
     links = stored(whole.select("uid", "same", "same2").join(least, ["same", "same2"]).where("uid <> rep").select(F.col("uid").alias("a"), F.col("rep").alias("b")), "equal")
     reps = stored(whole.join(least.select(F.col("rep").alias("uid")), "uid", "left_semi"), "reps", "uncompressed")
     members = reps.select("uid", F.explode("bands").alias("bucket"))
-    many = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    active = stored(members.join(many, "bucket").distinct(), "members")
-    settled = done = None  # members that linked to a leader, with their distance; compared pairs, both ways
-    for _ in range(ROUNDS):
-        leaders = active.groupBy("bucket").agg(F.min("uid").alias("leader"))
-        asked = active.join(leaders, "bucket").where("uid <> leader").select("uid", "leader")
-        if settled is not None:
-            to_via = done.select(F.col("uid").alias("leader"), F.col("leader").alias("via"), F.col("d").alias("leader_d"))
-            asked = asked.unionByName(settled.join(leaders, "bucket").join(to_via, ["leader", "via"]).where(F.col("leader_d") - F.col("d") <= far).select("uid", "leader"))
-        pairs = asked.select(F.greatest("uid", "leader").alias("uid"), F.least("uid", "leader").alias("leader")).distinct()
-        if done is not None:
-            pairs = pairs.join(done.select("uid", "leader"), ["uid", "leader"], "left_anti")
-        found = stored(_compared(stored(pairs, "pairs"), reps).withColumn("d", 1 - F.col("similarity")), "compared")
-        links = links.unionByName(found.where(F.col("similarity") >= similar).select(F.col("uid").alias("a"), F.col("leader").alias("b")))
-        both = found.select("uid", "leader", "d").unionByName(found.select(F.col("leader").alias("uid"), F.col("uid").alias("leader"), "d"))
-        done = both if done is None else done.unionByName(both)
-        near = active.join(leaders, "bucket").join(done, ["uid", "leader"], "left")
-        near = stored(near.select("bucket", "uid", "leader", F.when(F.col("uid") == F.col("leader"), 0.0).otherwise(F.col("d")).alias("d")), "near")
-        linked = near.where(1 - F.col("d") >= similar).select("bucket", "uid", F.col("leader").alias("via"), "d")
-        settled = linked if settled is None else settled.unionByName(linked)
-        active = near.where(1 - F.col("d") < similar).select("bucket", "uid")
-        if not active.take(1):
-            return links
-    raise RuntimeError("buckets did not settle")
+    leaders = members.groupBy("bucket").agg(F.min("uid").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = stored(members.join(leaders, "bucket").where("uid <> leader").select("uid", "leader").distinct(), "pairs")
+    star = stored(_compared(pairs, reps).where(F.col("similarity") >= similar).select(F.col("uid").alias("a"), F.col("leader").alias("b")), "star")
+    families = components(pairs.select(F.col("uid").alias("a"), F.col("leader").alias("b"))).select(F.col("id").alias("uid"), F.col("component").alias("family"))
+    classes = components(star).select(F.col("id").alias("uid"), F.col("component").alias("class"))
+    rows = families.join(classes, "uid", "left").withColumn("class", F.coalesce("class", "uid"))
+    rows = stored(rows.join(reps.select("uid", "total"), "uid"), "families")
+    sizes = rows.groupBy("family", "class").agg(F.count("*").alias("n"), F.sum("total").alias("words"))
+    main = sizes.groupBy("family").agg(F.max(F.struct("n", "class")).alias("m"), F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("words").alias("words")).where("k > 1")
+    parts = lambda n, words: F.greatest(F.lit(1), F.ceil(n / PART_ROWS), F.ceil(words / PART_WORDS)).cast("long")
+    # rest: members outside the largest class; each of their parts meets each part of the family
+    rest = sizes.join(main.select("family", F.col("m.class").alias("class")), ["family", "class"], "left_anti").groupBy("family").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    cut = main.select("family", F.col("m.class").alias("main"), parts(F.col("n"), F.col("words")).alias("right")).join(rest.select("family", parts(F.col("n"), F.col("words")).alias("left")), "family")
+    dealt = stored(rows.select("uid", "family", "class").join(cut, "family"), "dealt")
+    many = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    part = lambda n: F.pmod(F.xxhash64("uid"), F.col(n))
+    left = dealt.where("class <> main").select("family", part("left").alias("i"), many("right").alias("j"), F.lit(0).alias("side"), "uid")
+    right = dealt.select("family", part("right").alias("j"), many("left").alias("i"), F.lit(1).alias("side"), "uid").select("family", "i", "j", "side", "uid")
+    tasks = left.unionByName(right).join(reps.select("uid", "vector"), "uid")
+
+    def compare(group: pa.Table) -> pa.Table:
+        side, uid = group.column("side").to_numpy(), group.column("uid").to_numpy()
+        blobs = group.column("vector").to_pylist()
+        sides = [np.flatnonzero(side == s) for s in (0, 1)]
+        i, j = block_links(*[[vector(blobs[k]) for k in s.tolist()] for s in sides], similar)
+        a, b = uid[sides[0][i]], uid[sides[1][j]]
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            x, y = top(x), top(y)
+            root[max(x, y)] = min(x, y)
+        held = [(x, top(x)) for x in root if top(x) != x]
+        return pa.table({"a": pa.array([x for x, _ in held], type=pa.int64()), "b": pa.array([y for _, y in held], type=pa.int64())})
+
+    return links.unionByName(star).unionByName(stored(tasks.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long"), "rest"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILARITY) -> DataFrame:
