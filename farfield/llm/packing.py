@@ -141,4 +141,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values, first = np.unique(keys, return_index=True)
-    return values, first, np.append(first[1:], len(keys))
+    return values, first, np.append(first[1:], len(keys))[: len(first)]
