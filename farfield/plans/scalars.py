@@ -97,12 +97,17 @@ def p18b(spark, d):
     return _literals(spark, "country, region", [("lt", None), ("us", "ak"), ("T1", "x"), (None, "x"), ("GB", "TOOLONG")]).withColumn("code", text.visitor_code(c("country"), c("region")))
 
 
-_LON, _LAT = c("lon_e4") / 10000.0, c("lat_e4") / 10000.0
+def _lon():
+    return c("lon_e4") / 10000.0
+
+
+def _lat():
+    return c("lat_e4") / 10000.0
 
 
 @query("g01_utm_epsg", with_views("points", "SELECT event_id, CAST(CASE WHEN lat_e4 >= 0 THEN 32600 ELSE 32700 END + least(60, greatest(1, floor((lon_e4 / 10000.0 + 180.0) / 6.0) + 1)) AS INTEGER) AS epsg FROM points"))
 def g01(spark, d):
-    return fx.points(spark, d).select("event_id", crs.utm_epsg(_LON, _LAT).alias("epsg"))
+    return fx.points(spark, d).select("event_id", crs.utm_epsg(_lon(), _lat()).alias("epsg"))
 
 
 @query("g05_upper", with_views("points", "SELECT event_id, CAST(floor((dist_cm / 100.0 + 2 * 707.1067811865476) * (1 + 0.003) * 100) AS BIGINT) AS upper_cm FROM points"))
@@ -136,38 +141,38 @@ def g16(spark, d):
 
 @query("g21_georef", with_views("points", """SELECT event_id, CAST(floor((lat_e4 / 10000.0 + (50.0 / 111320.0) * 40 / 2) * 1e6 + 0.5) AS BIGINT) AS north_e6, 40 AS width, 40 AS height FROM points"""))
 def g21(spark, d):
-    return fx.points(spark, d).select("event_id", crs.georef(_LAT, _LON, 50.0, 2000.0).alias("g")).select("event_id", F.floor(c("g.north") * 1e6 + 0.5).alias("north_e6"), "g.width", "g.height")
+    return fx.points(spark, d).select("event_id", crs.georef(_lat(), _lon(), 50.0, 2000.0).alias("g")).select("event_id", F.floor(c("g.north") * 1e6 + 0.5).alias("north_e6"), "g.width", "g.height")
 
 
 @query("g23_tile_xy", with_views("points", """SELECT event_id, CAST(floor((lon_e4 / 10000.0 + 180.0) / 360.0 * 512.0) AS BIGINT) AS tx,
  CAST(floor((1.0 - ln(tan(radians(lat_e4 / 10000.0)) + 1.0 / cos(radians(lat_e4 / 10000.0))) / pi()) / 2.0 * 512.0) AS BIGINT) AS ty FROM points"""))
 def g23(spark, d):
-    x, y = crs.tile_xy(_LON, _LAT, 9)
+    x, y = crs.tile_xy(_lon(), _lat(), 9)
     return fx.points(spark, d).select("event_id", x.alias("tx"), y.alias("ty"))
 
 
 @query("g02_project")
 def g02(spark, d):
     """UTM, LAEA and Mercator coordinates of the points, in whole metres (no SQL twin: series and logarithms)."""
-    rows = fx.points(spark, d).withColumn("epsg", crs.utm_epsg(_LON, _LAT))
-    sides = {"utm": crs.utm(_LON, _LAT, c("epsg")), "laea": crs.laea(_LON, _LAT, 10.0, 52.0, 4321000.0, 3210000.0), "merc": crs.mercator(_LON, _LAT)}
+    rows = fx.points(spark, d).withColumn("epsg", crs.utm_epsg(_lon(), _lat()))
+    sides = {"utm": crs.utm(_lon(), _lat(), c("epsg")), "laea": crs.laea(_lon(), _lat(), 10.0, 52.0, 4321000.0, 3210000.0), "merc": crs.mercator(_lon(), _lat())}
     return rows.select("event_id", "epsg", *[F.floor(v + 0.5).alias(f"{n}_{a}") for n, pair in sides.items() for a, v in zip("xy", pair, strict=True)])
 
 
 @query("g03_pad")
 def g03(spark, d):
-    return fx.points(spark, d).select("event_id", F.floor(crs.laea_pad(_LON, _LAT, 10.0, 52.0) * 1e6).alias("pad_e6"))
+    return fx.points(spark, d).select("event_id", F.floor(crs.laea_pad(_lon(), _lat(), 10.0, 52.0) * 1e6).alias("pad_e6"))
 
 
 @query("g06_geodesic")
 def g06(spark, d):
-    near = geodesy.geodesic_m(_LON, _LAT, _LON + (c("event_id") % 100) / 50.0, _LAT + (c("event_id") % 70) / 50.0 - 0.7)
+    near = geodesy.geodesic_m(_lon(), _lat(), _lon() + (c("event_id") % 100) / 50.0, _lat() + (c("event_id") % 70) / 50.0 - 0.7)
     return fx.points(spark, d).select("event_id", F.floor(near * 10).alias("dist_dm"))
 
 
 @query("g22_search_box", with_views("points", "SELECT event_id, CAST(floor((lat_e4 / 10000.0 - dist_cm / 111320.0) * 1e6) AS BIGINT) AS south_e6, CAST(floor((lat_e4 / 10000.0 + dist_cm / 111320.0) * 1e6) AS BIGINT) AS north_e6 FROM points"))
 def g22(spark, d):
-    return fx.points(spark, d).select("event_id", crs.search_box(_LAT, _LON, c("dist_cm")).alias("b")).select("event_id", F.floor(c("b.south") * 1e6).alias("south_e6"), F.floor(c("b.north") * 1e6).alias("north_e6"))
+    return fx.points(spark, d).select("event_id", crs.search_box(_lat(), _lon(), c("dist_cm")).alias("b")).select("event_id", F.floor(c("b.south") * 1e6).alias("south_e6"), F.floor(c("b.north") * 1e6).alias("north_e6"))
 
 
 @query("g26_view_bounds", with_views("points", "SELECT event_id, lon_e4 + CASE WHEN (2 * lon_e4 + event_id % 1000000) / 2.0 > 1800000 THEN -3600000 ELSE 0 END AS west, lon_e4 + event_id % 1000000 + CASE WHEN (2 * lon_e4 + event_id % 1000000) / 2.0 > 1800000 THEN -3600000 ELSE 0 END AS east FROM points"))
@@ -217,7 +222,7 @@ def f10(spark, d):
 
 @query("f12_detail_stem", with_views("points", "SELECT event_id, printf('%s-%.6f_%.6f', scenario, lat_e4 / 10000.0, lon_e4 / 10000.0) AS stem FROM points"))
 def f12(spark, d):
-    return fx.points(spark, d).select("event_id", text.detail_stem(c("scenario"), _LAT, _LON).alias("stem"))
+    return fx.points(spark, d).select("event_id", text.detail_stem(c("scenario"), _lat(), _lon()).alias("stem"))
 
 
 @query("f14_fmt_dist", with_views("points", """SELECT event_id, CASE WHEN tens < 1000 THEN tens || ' m' WHEN m < 9950 THEN (CAST(floor(m / 1000.0 * 10 + 0.5) AS BIGINT) // 10) || '.' || (CAST(floor(m / 1000.0 * 10 + 0.5) AS BIGINT) % 10) || ' km'
