@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -13,6 +14,10 @@ PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-ö
 #: Pieces that a worker remembers; beyond, it forgets all and starts anew.
 REMEMBERED = 400_000
 CHUNK = 1_000_000
+#: The letter by which a byte-level model names each byte: printable ones of Latin-1 themselves, the rest from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+LETTERS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 
 
 class WordIds:
@@ -22,27 +27,18 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.ends = np.zeros(size, dtype=bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 5000):
-            part = pieces[at : at + 5000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(part):
-                start = 0
-                for piece, end in zip(part, ends.tolist(), strict=True):
-                    self.known[piece] = ids[start:end].tobytes()
-                    start = end
-            else:
-                self.known.update((piece, self._whole(piece)) for piece in part)
+    def _learn(self, pieces: set[str]) -> None:
+        """The model alone, on a piece's bytes in its own letters: what is left of the tokenizer's work for one piece."""
+        tokenize = self.model.tokenize
+        for piece in pieces:
+            own = piece if piece.isascii() and piece.isprintable() else "".join([LETTERS[b] for b in piece.encode()])
+            self.known[piece] = array("I", [t.id for t in tokenize(own)]).tobytes()
 
     def __call__(self, texts: list[str]):
         """Yields the bytes of each text's ids."""
@@ -58,11 +54,9 @@ class WordIds:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
             known = self.known
-            missing = {p for ps in pieces if type(ps) is list for p in ps if p not in known}
-            if missing:
-                self._learn(sorted(missing))
+            self._learn(set().union(*[ps for ps in pieces if type(ps) is list]).difference(known))
             for ps in pieces:
-                yield b"".join([known[p] for p in ps]) if type(ps) is list else self._whole(ps)
+                yield b"".join(map(known.__getitem__, ps)) if type(ps) is list else self._whole(ps)
 
 
 _loaded: dict[str, WordIds] = {}
