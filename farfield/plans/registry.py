@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("scalars", "spatial", "published")
+MODULES = ("scalars", "spatial", "published", "details")
 
 
 def _cases() -> dict[str, tuple]:
