@@ -143,7 +143,7 @@ def v07b(spark, d):
     return i.join(j, ["scenario", "unit_id", "label"]).where("rank_i < rank_j").select("scenario", "unit_id", "rank_i", "rank_j")
 
 
-@query("j05_area_country", with_views("units", "SELECT code, country_id, (x0 + 20000) // 100000 * 2 + (y0 + 20000) // 100000 AS block FROM units"))
+@query("j05_area_country", with_views("units", "SELECT code, country_id, CAST((x0 + 20000) // 100000 * 2 + (y0 + 20000) // 100000 AS BIGINT) AS block FROM units"))
 def j05(spark, d):
     """The block that holds a unit's representative point."""
     return fx.units(spark, d).select("code", "country_id", (F.floor((c("x0") + 20000) / 100000) * 2 + F.floor((c("y0") + 20000) / 100000)).alias("block"))

@@ -179,7 +179,7 @@ def j02(spark, d):
     return polygons.points_in_polygons(points, edges, ["place_id"], ["water_id"], 10000)
 
 
-@query("a05_polygon_area", with_views("water", "SELECT water_id, 2 * side * side AS area2 FROM water"))
+@query("a05_polygon_area", with_views("water", "SELECT water_id, CAST(2 * side * side AS BIGINT) AS area2 FROM water"))
 def a05(spark, d):
     return polygons.polygon_areas(polygons.ring_edges(fx.water_corners(spark, d), ["water_id"]), ["water_id"])
 
@@ -387,13 +387,13 @@ def v01(spark, d):
     return measured.select("place_id", ((F.abs(c("m") * 1000 - c("dist_mm")) <= 0.005 * c("dist_mm")) | (c("m") - c("dist_mm") / 1000 <= 25)).alias("passed"), F.lit(True).alias("blocking"))
 
 
-@query("j11_member_completeness", "SELECT * FROM (VALUES (1, 2, 0, true), (2, 2, 1, false)) t(area_id, members, missing, complete)")
+@query("j11_member_completeness", "SELECT area_id, CAST(members AS BIGINT) AS members, CAST(missing AS BIGINT) AS missing, complete FROM (VALUES (1, 2, 0, true), (2, 2, 1, false)) t(area_id, members, missing, complete)")
 def j11(spark, d):
     members = _literals(spark, "area_id, way_id", [(1, 10), (1, 11), (2, 12), (2, 99)])
     return rings.completeness(members, _literals(spark, "way_id", [(10,), (11,), (12,)]))
 
 
-@query("g20_ring_assembly", "SELECT * FROM (VALUES (1, 0, 5, true), (2, 0, 3, false)) t(area_id, ring, points, closed)")
+@query("g20_ring_assembly", "SELECT area_id, CAST(ring AS BIGINT) AS ring, CAST(points AS BIGINT) AS points, closed FROM (VALUES (1, 0, 5, true), (2, 0, 3, false)) t(area_id, ring, points, closed)")
 def g20(spark, d):
     rows = [(1, 10, i, n) for i, n in enumerate((1, 2, 3))] + [(1, 11, i, n) for i, n in enumerate((1, 4, 3))] + [(2, 12, i, n) for i, n in enumerate((7, 8, 9))]
     lines = _literals(spark, "area_id, way_id, seq, node", rows)
