@@ -120,15 +120,12 @@ class Blocks(HTMLParser):
 
 
 def main_text(html: str) -> str:
-    """The article of a page: its blocks in page order, joined by newlines; empty where there is none."""
+    """The main text of a page: its blocks in page order, joined by newlines; empty where there is none."""
     parser = Blocks()
     parser.feed(html)
     parser.close()
     parser.flush()
     found = parser.blocks
-    if any(b[3] for b in found):
-        # what a page itself marks as its article needs no choice
-        return "\n".join(b[0] for b in found if b[3])
     if not found:
         return ""
     ratio = np.array([max(0, len(text) - linked) / (1 + tags) for text, tags, linked, _ in found])
@@ -136,9 +133,11 @@ def main_text(html: str) -> str:
     kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
     padded = np.pad(ratio, 3, mode="edge")
     smooth = np.convolve(padded, kernel / kernel.sum(), mode="valid")
-    # a cluster of blocks at or above the threshold is content; a block of links only never is
-    content = smooth >= THRESHOLD * smooth.mean()
-    return "\n".join(b[0] for b, keep in zip(found, content.tolist(), strict=True) if keep and b[2] < 0.8 * len(b[0]))
+    # a cluster of blocks at or above the threshold is content; <article> and <main> count as much as the threshold, and
+    # a block of links only is content nowhere else
+    threshold = THRESHOLD * smooth.mean()
+    content = smooth + threshold * np.array([b[3] for b in found]) >= threshold
+    return "\n".join(b[0] for b, keep in zip(found, content.tolist(), strict=True) if keep and (b[3] or b[2] < 0.8 * len(b[0])))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -124,6 +124,14 @@ def test_main_text():
     assert main_text("") == "" and main_text("<script>x</script>") == ""
 
 
+def test_article_is_only_evidence():
+    body = [f"Paragraph {k} of the body says something at some length, as paragraphs do. " * 3 for k in range(5)]
+    paragraphs = "".join(f"<p>{b}</p>" for b in body)
+    for page in (f"<div>{paragraphs}</div><article><h3>Teaser</h3></article>", f"<main><p>Teaser</p></main><div>{paragraphs}</div>"):
+        got = main_text(PAGE % page).split("\n")
+        assert set(b.strip() for b in body) <= set(got) and "first!" not in got
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE % "<article><p>Text</p></article>", 5), (2, None, None, 5), (None, "v", "", 5), (1, "u", PAGE % "<article><p>Text</p></article>", 5)]
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text long")).collect()
