@@ -29,8 +29,10 @@ MARKS = frozenset(
 #: Elements that hold a page's article: marks on them name a theme, not what to skip.
 HOLDERS = frozenset("html body main article".split())
 SIGMA = 1.0
-#: Part of the mean smoothed ratio above which blocks belong to the content.
-THRESHOLD = 0.25
+#: Part of the page's typical smoothed ratio (all ratios being logarithms) from which on blocks belong to the content.
+THRESHOLD = 1 / 3
+#: What <article> and <main> add to a block's smoothed ratio: more than any page's threshold.
+ARTICLE = 6.0
 SPACE = re.compile(r"\s+")
 MARK = re.compile(r"[a-z]+")
 
@@ -119,6 +121,21 @@ class Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def smoothed(ratio: np.ndarray) -> np.ndarray:
+    """ratio under a Gaussian of SIGMA blocks."""
+    reach = np.arange(-3, 4)
+    kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
+    return np.convolve(np.pad(ratio, 3, mode="edge"), kernel / kernel.sum(), mode="valid")
+
+
+def typical(ratio: np.ndarray) -> float:
+    """The median of ratio, each block counting by its ratio: many blocks with hardly any text don't lower it, and one
+    with very much text counts as a few."""
+    ordered = np.sort(ratio)
+    held = np.cumsum(ordered)
+    return float(ordered[np.searchsorted(held, held[-1] / 2)])
+
+
 def main_text(html: str) -> str:
     """The main text of a page: its blocks in page order, joined by newlines; empty where there is none."""
     parser = Blocks()
@@ -128,16 +145,13 @@ def main_text(html: str) -> str:
     found = parser.blocks
     if not found:
         return ""
-    ratio = np.array([max(0, len(text) - linked) / (1 + tags) for text, tags, linked, _ in found])
-    reach = np.arange(-3, 4)
-    kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
-    padded = np.pad(ratio, 3, mode="edge")
-    smooth = np.convolve(padded, kernel / kernel.sum(), mode="valid")
-    # a cluster of blocks at or above the threshold is content; <article> and <main> count as much as the threshold, and
-    # a block of links only is content nowhere else
-    threshold = THRESHOLD * smooth.mean()
-    content = smooth + threshold * np.array([b[3] for b in found]) >= threshold
-    return "\n".join(b[0] for b, keep in zip(found, content.tolist(), strict=True) if keep and (b[3] or b[2] < 0.8 * len(b[0])))
+    # logarithms: one block of any length moves neither its neighbours nor the threshold much
+    ratio = np.log1p([max(0, len(text) - linked) / (1 + tags) for text, tags, linked, _ in found])
+    smooth = smoothed(ratio)
+    threshold = max(THRESHOLD * typical(smooth), 1e-9)
+    # a cluster of blocks at or above the threshold is content
+    content = smooth + ARTICLE * np.array([b[3] for b in found]) >= threshold
+    return "\n".join(b[0] for b, keep in zip(found, content.tolist(), strict=True) if keep)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -132,6 +132,20 @@ def test_article_is_only_evidence():
         assert set(b.strip() for b in body) <= set(got) and "first!" not in got
 
 
+def test_one_long_block_drops_no_others():
+    short = [f"{k} says a few things. " * 9 for k in range(50)]
+    page = "".join(f"<p>{b}</p>" for b in [*short[:25], "Very long text. " * 6250, *short[25:]])
+    assert main_text(PAGE % f"<div>{page}</div>").split("\n") == [b.strip() for b in [*short[:25], "Very long text. " * 6250, *short[25:]]]
+
+
+def test_links_of_the_text_stay():
+    links = [f"<a href=/{k}>Entry number {k}</a>" for k in range(12)]
+    text = "A long paragraph of running text that says something. " * 8
+    page = f"<p>{text}</p><ul>{''.join(f'<li>{x}</li>' for x in links)}</ul><p>{text}</p>"
+    assert main_text(PAGE % f"<article>{page}</article>").split("\n") == [text.strip(), *(f"Entry number {k}" for k in range(12)), text.strip()]
+    assert main_text(PAGE % f"<div><p>{text}</p><p>{links[0]}</p><p>{text}</p></div>").split("\n") == [text.strip(), "Entry number 0", text.strip()]
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE % "<article><p>Text</p></article>", 5), (2, None, None, 5), (None, "v", "", 5), (1, "u", PAGE % "<article><p>Text</p></article>", 5)]
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text long")).collect()
