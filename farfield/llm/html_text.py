@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -20,12 +22,14 @@ BLOCK = frozenset(
 CLOSES_P = BLOCK - {"html", "body", "title", "option", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
 #: Elements whose content is never part of the main text.
 BOILERPLATE = frozenset("aside button datalist dialog embed fieldset footer form frameset head header iframe input label legend map math menu nav noframes noscript object optgroup option script search select style svg template textarea title".split())
-#: Words in class, id or role that mark such content.
+#: Words in class, id or role that speak for such content.
 MARKS = frozenset(
     "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs byline comment comments consent cookie cookies disclaimer discussion disqus dropdown feedback footer form gdpr header hidden login "
     "menu menubar modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup popover promo promos promoted promotion recommend recommended related replies reply respond "
     "search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe taboola tags toc toolbar tracking widget".split()
 )
+#: Words beside which they name a page's layout ("no-sidebar", "overflow-hidden").
+LAYOUT = frozenset("has layout no overflow with without".split())
 #: Elements that hold a page's article: marks on them name a theme, not what to skip.
 HOLDERS = frozenset("html body main article".split())
 SIGMA = 1.0
@@ -33,29 +37,55 @@ SIGMA = 1.0
 THRESHOLD = 1 / 3
 #: What <article> and <main> add to a block's smoothed ratio: more than any page's threshold.
 ARTICLE = 6.0
+#: What a mark takes from a block's ratio: one whose words are all in MARKS ("cookie-notice"), and another ("share-buttons").
+WHOLE, PART = 5.0, 2.5
+#: A mark around more than this part of the text of <article> and <main>, or of the page's text, says nothing; of the
+#: latter only where this is so many characters, or there is no other text to go by: an article may be one word.
+MOST, LEAST = 0.5, 500
 SPACE = re.compile(r"\s+")
 MARK = re.compile(r"[a-z]+")
 
 
+@lru_cache(maxsize=4096)
+def marks(value: str, block: bool) -> tuple[tuple[str, float], ...]:
+    """The marks among the names in a class, id or role, with what each takes from the ratio. Within a line of text
+    only those count whose words are all in MARKS."""
+    found = []
+    for name in value.split():
+        words = MARK.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        known = sum(w in MARKS for w in words)
+        if known and (known == len(words) or (block and LAYOUT.isdisjoint(words))):
+            found.append((name.lower(), WHOLE if known == len(words) else PART))
+    return tuple(found)
+
+
 class Blocks(HTMLParser):
-    """Collects a page's blocks: text, number of tags within, characters within links, and whether it is in an article."""
+    """Collects a page's blocks, in parts where marks change within a line of text: number of the block, text, number
+    of tags within, characters within links, whether it is in an article, and the marks around it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool]] = []
-        self.skipped = self.links = self.articles = self.tags = self.linked = 0
+        self.blocks: list[tuple[int, str, int, int, bool, tuple]] = []
+        self.open: list[tuple[str, bool, tuple]] = []
+        self.skipped = self.links = self.articles = self.tags = self.linked = self.number = 0
         self.text: list[str] = []
+        self.around: Counter = Counter()
 
-    def flush(self) -> None:
+    def cut(self) -> None:
+        """Ends a part of a block."""
         if self.text:
-            if text := SPACE.sub(" ", "".join(self.text)).strip():
-                self.blocks.append((text, self.tags, self.linked, self.articles > 0))
+            self.blocks.append((self.number, "".join(self.text), self.tags, self.linked, self.articles > 0, tuple(self.around)))
             self.text = []
+            self.tags = self.linked = 0
+
+    def flush(self) -> None:
+        """Ends a block."""
+        self.cut()
+        self.number += 1
         self.tags = self.linked = 0
 
     @staticmethod
-    def marked(tag: str, attrs: list) -> bool:
+    def hidden(tag: str, attrs: list) -> bool:
         if tag in BOILERPLATE:
             return True
         if tag in HOLDERS:
@@ -63,12 +93,16 @@ class Blocks(HTMLParser):
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
-            if name in ("class", "id", "role") and value and not MARKS.isdisjoint(MARK.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-                return True
             if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
         return False
 
+    @staticmethod
+    def marked(tag: str, attrs: list) -> tuple:
+        if tag in HOLDERS:
+            return ()
+        return tuple(sorted({m for name, value in attrs if name in ("class", "id", "role") and value for m in marks(value, tag in BLOCK)}))
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
             self.flush()
@@ -77,12 +111,15 @@ class Blocks(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in CLOSES_P and self.open and any(t == "p" for t, _ in self.open):
+        if tag in CLOSES_P and self.open and any(o[0] == "p" for o in self.open):
             self.close_to("p", within=True)
         elif tag in ("li", "dd", "dt", "tr", "td", "th", "option") and self.open and self.open[-1][0] == tag:
             self.close_to(tag)
-        skip = self.marked(tag, attrs)
-        self.open.append((tag, skip))
+        skip, marked = self.hidden(tag, attrs), self.marked(tag, attrs)
+        if marked:
+            self.cut()
+            self.around.update(marked)
+        self.open.append((tag, skip, marked))
         self.skipped += skip
         self.links += tag == "a"
         self.articles += tag in ("article", "main")
@@ -103,7 +140,13 @@ class Blocks(HTMLParser):
         else:
             return
         while len(self.open) > i:
-            name, skip = self.open.pop()
+            name, skip, marked = self.open.pop()
+            if marked:
+                self.cut()
+                self.around.subtract(marked)
+                for m in marked:
+                    if not self.around[m]:
+                        del self.around[m]
             self.skipped -= skip
             self.links -= name == "a"
             self.articles -= name in ("article", "main")
@@ -136,22 +179,53 @@ def typical(ratio: np.ndarray) -> float:
     return float(ordered[np.searchsorted(held, held[-1] / 2)])
 
 
+def losses(around: list[tuple], own: np.ndarray, article: np.ndarray) -> np.ndarray:
+    """What the marks around each block take from its ratio. own: its characters outside links."""
+    if not any(around):
+        return np.zeros(len(own))
+    inner = own * article
+    idle: set = set()
+    for counted, least in ((inner, 0), (own, LEAST if inner.any() else 0)):
+        held: Counter = Counter()
+        for ms, n in zip(around, counted.tolist(), strict=True):
+            for m in ms:
+                held[m] += n
+        idle |= {m for m, n in held.items() if n > max(MOST * counted.sum(), least)}
+    return np.array([sum(m[1] for m in ms if m not in idle) for ms in around], dtype=float)
+
+
 def main_text(html: str) -> str:
     """The main text of a page: its blocks in page order, joined by newlines; empty where there is none."""
     parser = Blocks()
     parser.feed(html)
     parser.close()
     parser.flush()
-    found = parser.blocks
-    if not found:
+    # what of a block has the same marks is judged together
+    parts: dict[tuple, list] = {}
+    for number, text, tags, linked, article, around in parser.blocks:
+        held = parts.setdefault((number, around), [0, 0, 0, article])
+        held[0] += len(SPACE.sub(" ", text).strip())
+        held[1] += tags
+        held[2] += linked
+    parts = {k: v for k, v in parts.items() if v[0]}
+    if not parts:
         return ""
+    own = np.array([max(0, chars - linked) for chars, _, linked, _ in parts.values()])
+    article = np.array([v[3] for v in parts.values()])
     # logarithms: one block of any length moves neither its neighbours nor the threshold much
-    ratio = np.log1p([max(0, len(text) - linked) / (1 + tags) for text, tags, linked, _ in found])
-    smooth = smoothed(ratio)
-    threshold = max(THRESHOLD * typical(smooth), 1e-9)
-    # a cluster of blocks at or above the threshold is content
-    content = smooth + ARTICLE * np.array([b[3] for b in found]) >= threshold
-    return "\n".join(b[0] for b, keep in zip(found, content.tolist(), strict=True) if keep)
+    ratio = np.log1p(own / (1 + np.array([v[1] for v in parts.values()])))
+    loss = losses([around for _, around in parts], own, article)
+    smooth = smoothed(np.maximum(ratio - loss, 0))
+    plain = loss == 0
+    threshold = max(THRESHOLD * typical(smooth[plain] if plain.any() else smooth), 1e-9)
+    # a cluster of blocks at or above the threshold is content; a marked block has to be it by itself
+    content = np.where(plain, smooth + ARTICLE * article, ratio - loss) >= threshold
+    kept = {k for k, keep in zip(parts, content.tolist(), strict=True) if keep}
+    lines: dict[int, list[str]] = {}
+    for number, text, _, _, _, around in parser.blocks:
+        if (number, around) in kept:
+            lines.setdefault(number, []).append(text)
+    return "\n".join(SPACE.sub(" ", "".join(texts)).strip() for texts in lines.values())
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

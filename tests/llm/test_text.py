@@ -146,6 +146,30 @@ def test_links_of_the_text_stay():
     assert main_text(PAGE % f"<div><p>{text}</p><p>{links[0]}</p><p>{text}</p></div>").split("\n") == [text.strip(), "Entry number 0", text.strip()]
 
 
+MARKED = ["overflow-hidden", "no-sidebar", "with-sidebar", "elementor-widget", "page-header-layout", "widget", "content form"]
+
+
+@pytest.mark.parametrize("name", MARKED)
+def test_marks_are_only_evidence(name):
+    body = [f"Paragraph {k} of the body says something at some length. " * (1 + k) for k in range(4)]
+    want = [b.strip() for b in body]
+    paragraphs = "".join(f"<p>{b}</p>" for b in body)
+    for page in (
+        f"<div class='{name}'><article>{paragraphs}</article></div>",
+        f"<div class='{name}'><main><div id='{name}'>{paragraphs}</div></main></div>",
+        f"<div class='{name}'>{paragraphs}</div>",
+        "".join(f"<div class='{name}'><p>{b}</p></div>" for b in body),
+        f"<div class='{name}'>{paragraphs}</div><article></article>",
+    ):
+        assert main_text(PAGE % page).split("\n") == want, page
+    assert main_text(PAGE % f"<div class='{name}'>{paragraphs}</div><article>Teaser</article>").split("\n") == [*want, "Teaser"]
+    # a mark of a small part still counts
+    assert main_text(PAGE % f"<article>{paragraphs}<div class='related'>See more</div></article>").split("\n") == want
+    # and within a line, words stay together
+    line = "<article><p>One <span class='no-widget'>two</span> three<span class='hidden'>x</span> four</p></article>"
+    assert main_text(PAGE % line) == "One two three four"
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE % "<article><p>Text</p></article>", 5), (2, None, None, 5), (None, "v", "", 5), (1, "u", PAGE % "<article><p>Text</p></article>", 5)]
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text long")).collect()
