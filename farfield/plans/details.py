@@ -9,6 +9,7 @@ from farfield.functions import classes, crs, lon, text
 from farfield.operators import components, polygons, raster
 from farfield.plans import fixtures as fx
 from farfield.plans.fixtures import CELLS, with_views
+from farfield.plans.published import whole
 
 c = F.col
 CASES: dict[str, tuple] = {}
@@ -53,10 +54,19 @@ def g12(spark, d):
 
 @query("g13_lattice", with_views("points", "SELECT event_id, x + 5 * i AS px, y + 5 * j AS py FROM (SELECT * FROM points WHERE event_id < 20), (SELECT unnest(generate_series(-5, 5)) AS i), (SELECT unnest(generate_series(-5, 5)) AS j)"))
 def g13(spark, d):
+    return _lattice(fx.points(spark, d).where("event_id < 20"))
+
+
+@query("g13_lattice_all", whole("g13_lattice", CASES, (" WHERE event_id < 20", "")))
+def g13_all(spark, d):
+    return _lattice(fx.points(spark, d))
+
+
+def _lattice(points):
     """Lattice of 5 m around each point, reaching at most 27 m."""
     n = int(27 / 5 + 1e-9)
     steps = F.explode(F.sequence(F.lit(-n), F.lit(n)))
-    rows = fx.points(spark, d).where("event_id < 20").withColumn("i", steps).withColumn("j", steps)
+    rows = points.withColumn("i", steps).withColumn("j", steps)
     return rows.select("event_id", (c("x") + 5 * c("i")).alias("px"), (c("y") + 5 * c("j")).alias("py"))
 
 

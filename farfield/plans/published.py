@@ -25,6 +25,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def whole(name: str, cases: dict, *changes: tuple[str, str]) -> str:
+    """The SQL of a query over some ids, made to ask for all rows."""
+    sql = cases[name][1]
+    for old, new in changes:
+        assert old in sql, old
+        sql = sql.replace(old, new)
+    return sql
+
+
 def _ranked(spark, d) -> DataFrame:
     return ranking.ranked(fx.points(spark, d))
 
@@ -122,7 +131,18 @@ _FEW = "few AS (SELECT unit_id, count(*) AS n FROM points WHERE event_id < 30 AN
 
 @query("j18_not_searched", with_views("points units", f", {_FEW} SELECT code, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'not searched' END AS reason FROM units LEFT JOIN few USING (unit_id)").replace("\n, few", ",\n few"))
 def j18(spark, d):
-    few = fx.points(spark, d).where("event_id < 30 AND scenario = 'A'").groupBy("unit_id").agg(F.count("*").alias("n"))
+    return _not_searched(spark, d, fx.points(spark, d).where("event_id < 30"))
+
+
+@query("j18_not_searched_all", whole("j18_not_searched", CASES, ("event_id < 30", "unit_id IN (SELECT unit_id FROM units WHERE country_id <> 3)")))
+def j18_all(spark, d):
+    """The search went over the units of the wanted countries."""
+    wanted = fx.units(spark, d).where("country_id <> 3").select("unit_id")
+    return _not_searched(spark, d, fx.points(spark, d).join(wanted, "unit_id", "left_semi"))
+
+
+def _not_searched(spark, d, points) -> DataFrame:
+    few = points.where("scenario = 'A'").groupBy("unit_id").agg(F.count("*").alias("n"))
     rows = fx.units(spark, d).join(few, "unit_id", "left")
     return rows.select("code", F.coalesce("n", F.lit(0)).alias("n"), F.when(c("n").isNull(), "not searched").alias("reason"))
 
@@ -195,7 +215,16 @@ def x41(spark, d):
 @query("j17_references", with_views("ranked", """SELECT r.event_id, r.unit_id, coalesce(abs(k.dist_cm - r.dist_cm) * 100 <= r.dist_cm AND (k.x - r.x) * (k.x - r.x) + (k.y - r.y) * (k.y - r.y) <= 250000, false) AS passed
  FROM (SELECT * FROM points WHERE event_id < 50 AND scenario = 'A' AND dist_cm > 0) r LEFT JOIN (SELECT * FROM kept WHERE rank = 1 AND scenario = 'A' AND unit_id <> 7) k ON k.unit_id = r.unit_id"""))
 def j17(spark, d):
-    refs = fx.points(spark, d).where("event_id < 50 AND scenario = 'A' AND dist_cm > 0").select("event_id", "unit_id", c("dist_cm").alias("ref"), c("x").alias("rx"), c("y").alias("ry"))
+    return _references(spark, d, fx.points(spark, d).where("event_id < 50"))
+
+
+@query("j17_references_all", whole("j17_references", CASES, ("event_id < 50 AND ", "")))
+def j17_all(spark, d):
+    return _references(spark, d, fx.points(spark, d))
+
+
+def _references(spark, d, points) -> DataFrame:
+    refs = points.where("scenario = 'A' AND dist_cm > 0").select("event_id", "unit_id", c("dist_cm").alias("ref"), c("x").alias("rx"), c("y").alias("ry"))
     tops = ranking.best(_kept(spark, d)).where("scenario = 'A' AND unit_id <> 7").select("unit_id", "top.dist_cm", "top.x", "top.y")
     dx, dy = c("x") - c("rx"), c("y") - c("ry")
     near = (F.abs(c("dist_cm") - c("ref")) * 100 <= c("ref")) & (dx * dx + dy * dy <= checks.REF_MOVE**2)
@@ -205,11 +234,20 @@ def j17(spark, d):
 @query("j20_unit_at", with_views("points units", """SELECT event_id, code FROM (SELECT p.event_id, u.code, row_number() OVER (PARTITION BY p.event_id ORDER BY CASE WHEN u.country_id = p.event_id % 5 THEN 0 ELSE 1 END, u.area, u.code) AS k
  FROM (SELECT * FROM points WHERE event_id % 10 = 3) p JOIN (SELECT *, (unit_id % 7 + 1) * 9000 AS w, CAST((unit_id % 7 + 1) * 9000 AS BIGINT) * 50000 AS area FROM units) u ON p.x >= u.x0 AND p.x <= u.x0 + 40000 + u.w AND p.y >= u.y0 AND p.y <= u.y0 + 50000) WHERE k = 1"""))
 def j20(spark, d):
+    return _unit_at(spark, d, fx.points(spark, d).where("event_id % 10 = 3"))
+
+
+@query("j20_unit_at_all", whole("j20_unit_at", CASES, (" WHERE event_id % 10 = 3", "")))
+def j20_all(spark, d):
+    return _unit_at(spark, d, fx.points(spark, d))
+
+
+def _unit_at(spark, d, points) -> DataFrame:
     """Of the overlapping boxes at a point: the visitor's own country first, then the smallest."""
     size = 20000
     boxes = fx.units(spark, d).withColumn("w", ((c("unit_id") % 7 + 1) * 9000).cast("long")).withColumn("area", c("w") * 50000)
     cover = boxes.withColumn("bx", F.explode(F.sequence(F.floor(c("x0") / size), F.floor((c("x0") + 40000 + c("w")) / size)))).withColumn("by", F.explode(F.sequence(F.floor(c("y0") / size), F.floor((c("y0") + 50000) / size))))
-    asked = fx.points(spark, d).where("event_id % 10 = 3").select("event_id", "x", "y").withColumn("bx", F.floor(c("x") / size)).withColumn("by", F.floor(c("y") / size))
+    asked = points.select("event_id", "x", "y").withColumn("bx", F.floor(c("x") / size)).withColumn("by", F.floor(c("y") / size))
     hits = asked.join(cover, ["bx", "by"]).where("x >= x0 AND x <= x0 + 40000 + w AND y >= y0 AND y <= y0 + 50000")
     own = F.when(c("country_id") == c("event_id") % 5, 0).otherwise(1)
     return hits.groupBy("event_id").agg(F.min(F.struct(own.alias("own"), "area", "code")).alias("b")).select("event_id", "b.code")
@@ -219,10 +257,19 @@ def j20(spark, d):
  SELECT v.event_id, coalesce(p.code, o.code, (SELECT code FROM reg JOIN units USING (unit_id) ORDER BY r, code LIMIT 1)) AS code FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN unit_id END AS asked, CASE WHEN event_id % 3 = 1 THEN unit_id END AS visitor FROM points WHERE event_id < 300) v
  LEFT JOIN units p ON p.unit_id = v.asked LEFT JOIN units o ON o.unit_id = v.visitor""").replace("\n, reg", ",\n reg"))
 def j21(spark, d):
+    return _opening_unit(spark, d, fx.points(spark, d).where("event_id < 300"))
+
+
+@query("j21_opening_unit_all", whole("j21_opening_unit", CASES, (" WHERE event_id < 300", "")))
+def j21_all(spark, d):
+    return _opening_unit(spark, d, fx.points(spark, d))
+
+
+def _opening_unit(spark, d, points) -> DataFrame:
     """Which unit a page opens with: the path's, else the visitor's, else the winner."""
     units = fx.units(spark, d).select(c("unit_id").cast("long").alias("unit_id"), "code")
     ranks = ranking.regional_ranks(_kept(spark, d)).where("scenario = 'A'").join(units, "unit_id").agg(ranking.winner(c("regional_rank"), c("code")).alias("winner"))
-    rows = fx.points(spark, d).where("event_id < 300").select("event_id", F.when(c("event_id") % 3 == 0, c("unit_id")).alias("asked"), F.when(c("event_id") % 3 == 1, c("unit_id")).alias("visitor"))
+    rows = points.select("event_id", F.when(c("event_id") % 3 == 0, c("unit_id")).alias("asked"), F.when(c("event_id") % 3 == 1, c("unit_id")).alias("visitor"))
     rows = rows.join(units.select(c("unit_id").alias("asked"), c("code").alias("p")), "asked", "left").join(units.select(c("unit_id").alias("visitor"), c("code").alias("o")), "visitor", "left")
     return rows.crossJoin(F.broadcast(ranks)).select("event_id", F.coalesce("p", "o", "winner").alias("code"))
 
@@ -233,7 +280,16 @@ _SPANS = "spans AS (SELECT unit_id, lon_e4 AS w, lon_e4 + event_id % 40000 AS e
 @query("w09_span_merge", with_views("points", f""", {_SPANS}, marked AS (SELECT *, CASE WHEN w <= max(e) OVER (PARTITION BY unit_id ORDER BY w, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM spans),
  grouped AS (SELECT *, sum(n) OVER (PARTITION BY unit_id ORDER BY w, e ROWS UNBOUNDED PRECEDING) AS g FROM marked) SELECT unit_id, min(w) AS west, max(e) AS east FROM grouped GROUP BY unit_id, g""").replace("\n, spans", ",\n spans"))
 def w09(spark, d):
-    spans = fx.points(spark, d).where("event_id < 2000").select("unit_id", c("lon_e4").alias("west"), (c("lon_e4") + c("event_id") % 40000).alias("east"))
+    return _merged(fx.points(spark, d).where("event_id < 2000"))
+
+
+@query("w09_span_merge_all", whole("w09_span_merge", CASES, (" WHERE event_id < 2000", "")))
+def w09_all(spark, d):
+    return _merged(fx.points(spark, d))
+
+
+def _merged(points) -> DataFrame:
+    spans = points.select("unit_id", c("lon_e4").alias("west"), (c("lon_e4") + c("event_id") % 40000).alias("east"))
     return lon.merged_spans(spans, ["unit_id"])
 
 
@@ -247,7 +303,16 @@ def g17(spark, d):
  run AS (SELECT event_id, unit_id, lon_e4 + sum(jump) OVER (PARTITION BY unit_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS lon_e4 FROM steps)
  SELECT event_id, unit_id, CAST(lon_e4 + CASE WHEN min(lon_e4) OVER (PARTITION BY unit_id) < -1800000 THEN 3600000 ELSE 0 END AS BIGINT) AS lon_e4 FROM run""").replace("\n, steps", ",\n steps"))
 def w11(spark, d):
-    rows = fx.points(spark, d).where("event_id < 3000").select("event_id", "unit_id", "lon_e4")
+    return _unwrapped(fx.points(spark, d).where("event_id < 3000"))
+
+
+@query("w11_ring_unwrap_all", whole("w11_ring_unwrap", CASES, (" WHERE event_id < 3000", "")))
+def w11_all(spark, d):
+    return _unwrapped(fx.points(spark, d))
+
+
+def _unwrapped(points) -> DataFrame:
+    rows = points.select("event_id", "unit_id", "lon_e4")
     return lon.unwrapped_rings(rows, ["unit_id"], "event_id", "lon_e4", 3600000)
 
 
@@ -315,6 +380,15 @@ def k12(spark, d):
     return sinks.upload_plan(local, remote).select("key", "size")
 
 
+@query("k12_upload_plan_all", whole("k12_upload_plan", CASES, (" WHERE event_id < 500", ""), ("event_id < 400", "NOT excluded")))
+def k12_all(spark, d):
+    """The other side lacks the excluded points and has some in another size."""
+    key = F.concat(c("event_id").cast("string"), F.lit(".json")).alias("key")
+    rows = fx.points(spark, d)
+    remote = rows.where("NOT excluded").select(key, (c("dist_cm") + c("event_id") % 2).alias("size"))
+    return sinks.upload_plan(rows.select(key, c("dist_cm").alias("size")), remote).select("key", "size")
+
+
 @query("k15_orphans", with_views("points", "SELECT 'r/s/detail/' || event_id || '.png' AS key FROM points WHERE event_id < 300 AND event_id % 3 <> 0"))
 def k15(spark, d):
     ids = fx.points(spark, d).where("event_id < 300").select(c("event_id").cast("string").alias("id"), c("event_id"))
@@ -322,6 +396,14 @@ def k15(spark, d):
     return sinks.orphans(listed, ids.where("event_id % 3 = 0").select(F.concat(F.lit("r/s/detail/"), c("id")).alias("stem")))
 
 
+@query("k15_orphans_all", whole("k15_orphans", CASES, ("event_id < 300 AND event_id % 3 <> 0", "coalesce(excluded, true)")))
+def k15_all(spark, d):
+    """Nothing refers to the excluded points' files."""
+    stem = F.concat(F.lit("r/s/detail/"), c("event_id").cast("string"))
+    rows = fx.points(spark, d)
+    return sinks.orphans(rows.select(F.concat(stem, F.lit(".png")).alias("key")), rows.where("NOT excluded").select(stem.alias("stem")))
+
+
 @query("f22_changed_stamps", with_views("units", "SELECT code AS path FROM units WHERE unit_id % 4 = 0 OR unit_id > 20"))
 def f22(spark, d):
     rows = fx.units(spark, d).select(c("code").alias("path"), c("x0").alias("size"), c("y0").alias("mtime"), "unit_id")

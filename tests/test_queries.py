@@ -4,6 +4,7 @@ import decimal
 import glob
 import math
 import os
+import re
 
 import duckdb
 import numpy as np
@@ -48,3 +49,13 @@ def test_same_as_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+WHOLE = "j20_unit_at w09_span_merge w11_ring_unwrap j21_opening_unit j17_references j18_not_searched k12_upload_plan k15_orphans g13_lattice".split()
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_whole_table(name):
+    """Beside each query over some ids is one over all rows (test_same_as_sql holds its result)."""
+    assert f"{name}_all" in QUERIES and re.search(r"event_id( % \d+)? (<|=) \d+", SQL[name])
+    assert not re.search(r"WHERE event_id( % \d+)? (<|=) \d+", SQL[f"{name}_all"])
