@@ -55,8 +55,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null texts count as empty. The row with the largest id of equal texts stays; a null id counts as the smallest,
     and of rows that also share their id exactly one stays. An empty table gives an empty result; other columns of
-    the input, whatever their names, are ignored. Texts with one hash meet in their bucket's chain, where they are
-    grouped by their bytes: copies are folded on the map side first, so a group may hold any share of the rows.
+    the input, whatever their names, are ignored. The index tells which hashes are repeated; the result comes from a
+    grouping of those texts by hash and bytes, not by bucket: copies are folded on the map side first, so a group may
+    hold any share of the rows.
     """
     entries, index = build_index(docs, id_col, text_col, bucket_rows)
     repeated = index.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
