@@ -47,7 +47,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", packed)]
 
-#: The near copies, the classifier and the tokenizer are beyond SQL; tests hold the stages against brute force.
+#: The near copies, the classifier and the tokenizer are beyond SQL. Tests hold the rows of the exact stage against brute
+#: force; of the others only columns and that filters add no rows, and run() only on an empty table.
 ORACLE_SQL = None
 
 

@@ -21,6 +21,17 @@ def test_stages(spark, awkward, tmp_path):
     assert docs.count() > 0
 
 
+def test_exact_stage_keeps_each_text_once(spark, awkward):
+    """The rows that stay: of each text (null as empty) the one with the largest id, a null id being the smallest."""
+    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    want = {}
+    for r in docs.collect():
+        key, i = r["text"] or "", -1 if r["doc_id"] is None else r["doc_id"]
+        want[key] = max(want.get(key, -1), i)
+    got = [(r["text"] or "", -1 if r["doc_id"] is None else r["doc_id"]) for r in corpus_pipeline.exact(spark, docs, "").collect()]
+    assert sorted(got) == sorted(want.items())
+
+
 @pytest.mark.parametrize("name", ["documents"])
 def test_empty_documents(spark, nothing, tmp_path, name):
     nothing.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/{name}.parquet")
