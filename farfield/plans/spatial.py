@@ -199,8 +199,19 @@ def j04(spark, d):
 @query("j06_nearest_place", with_views("points places", """SELECT event_id, place_id, d2 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d2, place_id) AS n FROM
  (SELECT event_id, place_id, (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) AS d2 FROM (SELECT * FROM points WHERE excluded) p, places q)) WHERE n = 1"""))
 def j06(spark, d):
-    """The nearest place of withheld points: places and points meet in buckets, which double until one is near enough."""
-    wanted = fx.points(spark, d).where("excluded").select("event_id", c("x").alias("px"), c("y").alias("py"))
+    """The nearest place of withheld points."""
+    return _nearest_places(spark, d, fx.points(spark, d).where("excluded"))
+
+
+@query("j06_nearest_place_all")
+def j06_all(spark, d):
+    """The nearest place of every point; SQL would need the product of points and places."""
+    return _nearest_places(spark, d, fx.points(spark, d))
+
+
+def _nearest_places(spark, d, points):
+    """Places and points meet in buckets, which grow until one is near enough."""
+    wanted = points.select("event_id", c("x").alias("px"), c("y").alias("py"))
     towns = fx.places(spark, d).select("place_id", "x", "y")
     size, out = 5000, None
     while size <= 8 * fx.SIDE:

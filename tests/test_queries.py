@@ -59,3 +59,15 @@ def test_whole_table(name):
     """Beside each query over some ids is one over all rows (test_same_as_sql holds its result)."""
     assert f"{name}_all" in QUERIES and re.search(r"event_id( % \d+)? (<|=) \d+", SQL[name])
     assert not re.search(r"WHERE event_id( % \d+)? (<|=) \d+", SQL[f"{name}_all"])
+
+
+def test_every_point_has_its_nearest_place(spark):
+    from farfield.plans import fixtures as fx
+
+    places = np.array(sorted((r["place_id"], r["x"], r["y"]) for r in fx.places(spark, SF).collect()))
+    want = {}
+    for r in fx.points(spark, SF).select("event_id", "x", "y").collect():
+        d2 = (places[:, 1] - r["x"]) ** 2 + (places[:, 2] - r["y"]) ** 2
+        want[r["event_id"]] = (int(places[d2.argmin(), 0]), int(d2.min()))
+    got = QUERIES["j06_nearest_place_all"](spark, SF).collect()
+    assert len(got) == len(want) and {r["event_id"]: (r["place_id"], r["d2"]) for r in got} == want
