@@ -94,7 +94,8 @@ class Anchored:
         first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (windows[1:] != windows[:-1] + 1)]))
         self.starts, self.anchors = windows[first], at[first]
         self.counts = np.diff(np.append(first, len(windows)))
-        self.keys = hashes[self.anchors]
+        # anchors have the least hashes around: they are spread again, or all would fall into one range of keys
+        self.keys = mixed(hashes[self.anchors])
         self.owner = np.searchsorted(ends, self.starts, side="right")
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
