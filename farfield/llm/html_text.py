@@ -20,11 +20,16 @@ BLOCK = frozenset(
     "legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 CLOSES_P = BLOCK - {"html", "body", "title", "option", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
-#: Elements whose content is never part of the main text.
-BOILERPLATE = frozenset("aside button datalist dialog embed fieldset footer form frameset head header iframe input label legend map math menu nav noframes noscript object optgroup option script search select style svg template textarea title".split())
+#: Elements whose content is no running text.
+NO_TEXT = frozenset("button datalist embed frameset head iframe input map noframes noscript object optgroup option script select style template textarea title".split())
+#: Elements that stand beside an article, those that list links (their ratio tells them, and counts half), and those
+#: that may also be around an article.
+BESIDE = frozenset("aside dialog footer search".split())
+LISTS = frozenset("menu nav".split())
+AROUND = frozenset("fieldset form header".split())
 #: Words in class, id or role that speak for such content.
 MARKS = frozenset(
-    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs byline comment comments consent cookie cookies disclaimer discussion disqus dropdown feedback footer form gdpr header hidden login "
+    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer discussion disqus dropdown feedback footer form gdpr header hidden login "
     "menu menubar modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup popover promo promos promoted promotion recommend recommended related replies reply respond "
     "search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe taboola tags toc toolbar tracking widget".split()
 )
@@ -35,10 +40,15 @@ HOLDERS = frozenset("html body main article".split())
 SIGMA = 1.0
 #: Part of the page's typical smoothed ratio (all ratios being logarithms) from which on blocks belong to the content.
 THRESHOLD = 1 / 3
-#: What <article> and <main> add to a block's smoothed ratio: more than any page's threshold.
-ARTICLE = 6.0
-#: What a mark takes from a block's ratio: one whose words are all in MARKS ("cookie-notice"), and another ("share-buttons").
-WHOLE, PART = 5.0, 2.5
+#: Part of that threshold which counts for blocks within <article> and <main>.
+ARTICLE = 1 / 10
+#: What a character within a link counts for.
+LINKED = 1 / 10
+#: What a mark takes from a block's ratio: a name whose words are all in MARKS ("cookie-notice"), another ("share-buttons"),
+#: an element in BESIDE, and one in AROUND.
+WHOLE, PART, STRUCTURE, FRAME = 5.0, 2.5, 8.0, 6.0
+#: What a block loses beside an <article> or <main> that holds most of the text.
+OUTSIDE = 2.5
 #: A mark around more than this part of the text of <article> and <main>, or of the page's text, says nothing; of the
 #: latter only where this is so many characters, or there is no other text to go by: an article may be one word.
 MOST, LEAST = 0.5, 500
@@ -86,7 +96,7 @@ class Blocks(HTMLParser):
 
     @staticmethod
     def hidden(tag: str, attrs: list) -> bool:
-        if tag in BOILERPLATE:
+        if tag in NO_TEXT:
             return True
         if tag in HOLDERS:
             return False
@@ -97,11 +107,17 @@ class Blocks(HTMLParser):
                 return True
         return False
 
-    @staticmethod
-    def marked(tag: str, attrs: list) -> tuple:
+    def marked(self, tag: str, attrs: list) -> tuple:
         if tag in HOLDERS:
             return ()
-        return tuple(sorted({m for name, value in attrs if name in ("class", "id", "role") and value for m in marks(value, tag in BLOCK)}))
+        found = {m for name, value in attrs if name in ("class", "id", "role") and value for m in marks(value, tag in BLOCK)}
+        if tag in BESIDE:
+            found.add((f"<{tag}>", STRUCTURE))
+        elif tag in LISTS:
+            found.add((f"<{tag}>", 0.0))
+        elif tag in AROUND and not (tag == "header" and self.articles):  # an article's own header has its title
+            found.add((f"<{tag}>", FRAME))
+        return tuple(sorted(found))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
@@ -190,7 +206,7 @@ def losses(around: list[tuple], own: np.ndarray, article: np.ndarray) -> np.ndar
         for ms, n in zip(around, counted.tolist(), strict=True):
             for m in ms:
                 held[m] += n
-        idle |= {m for m, n in held.items() if n > max(MOST * counted.sum(), least)}
+        idle |= {m for m, n in held.items() if m[1] < STRUCTURE and n > max(MOST * counted.sum(), least)}
     return np.array([sum(m[1] for m in ms if m not in idle) for ms in around], dtype=float)
 
 
@@ -210,16 +226,21 @@ def main_text(html: str) -> str:
     parts = {k: v for k, v in parts.items() if v[0]}
     if not parts:
         return ""
-    own = np.array([max(0, chars - linked) for chars, _, linked, _ in parts.values()])
+    own = np.array([max(0, chars - linked) + LINKED * linked for chars, _, linked, _ in parts.values()])
     article = np.array([v[3] for v in parts.values()])
     # logarithms: one block of any length moves neither its neighbours nor the threshold much
     ratio = np.log1p(own / (1 + np.array([v[1] for v in parts.values()])))
+    listed = np.array([any(not m[1] for m in around) for _, around in parts])
     loss = losses([around for _, around in parts], own, article)
-    smooth = smoothed(np.maximum(ratio - loss, 0))
-    plain = loss == 0
+    free = (loss == 0) & ~listed
+    if (own * free * article).sum() > MOST * (own * free).sum():  # the article is in <article> or <main>
+        loss = np.where(free & ~article, OUTSIDE, loss)
+    ratio = ratio / (1 + listed)
+    plain = (loss == 0) & ~listed
+    smooth = smoothed(np.where(plain, ratio, 0))
     threshold = max(THRESHOLD * typical(smooth[plain] if plain.any() else smooth), 1e-9)
-    # a cluster of blocks at or above the threshold is content; a marked block has to be it by itself
-    content = np.where(plain, smooth + ARTICLE * article, ratio - loss) >= threshold
+    # a cluster of blocks at or above the threshold is content; one with evidence against it has to be it by itself
+    content = np.where(plain, smooth, ratio - loss) >= threshold * np.where(article & plain, ARTICLE, 1)
     kept = {k for k, keep in zip(parts, content.tolist(), strict=True) if keep}
     lines: dict[int, list[str]] = {}
     for number, text, _, _, _, around in parser.blocks:
