@@ -9,6 +9,7 @@ there, and a range's task holds a bounded number of keys.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,10 +27,22 @@ BLOCK_BYTES = 4_000_000
 BLOCK_ROWS = 200_000
 #: Keys in a range, about.
 RANGE_KEYS = 1_500_000
+#: Powers that a worker keeps for the next block.
+KEPT = 2_200_000
+#: Bytes of text that words are hashed in at a time.
+HASHED = 500_000
 BLOCK_SCHEMA = "block long, n_bytes long, data binary"
 KEY_SCHEMA = "block long, range int, data binary"
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on while stages run that need none of it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Block:
     """Documents: ids (0 where null), known (id isn't null), ends of their texts, and the texts' bytes in a row."""
 
@@ -114,6 +127,7 @@ def over_blocks(blocks: DataFrame, f: Callable[[int, Block], Iterator[pa.RecordB
         for batch in batches:
             for k, data in zip(batch.column("block").to_pylist(), batch.column("data"), strict=True):
                 yield from f(k, Block.decode(data.as_py()))
+                give_back()
 
     return blocks.select("block", "data").mapInArrow(run, schema)
 
@@ -123,6 +137,7 @@ def answered(keys: DataFrame, answer: Callable[[list[bytes]], list[bytes]]) -> D
 
     def run(group: pa.Table) -> pa.Table:
         replies = answer([x.as_py() for x in group.column("data")])
+        give_back()
         return pa.table({"block": group.column("block"), "range": group.column("range"), "data": pa.array(replies, type=pa.binary())})
 
     return keys.groupBy("range").applyInArrow(run, KEY_SCHEMA)
@@ -133,7 +148,10 @@ def with_answers(blocks: DataFrame, answers: DataFrame, f: Callable[[int, Block,
 
     def run(own: pa.Table, replies: pa.Table) -> pa.Table:
         got = dict(zip(replies.column("range").to_pylist(), (x.as_py() for x in replies.column("data")), strict=True))
-        return f(own.column("block")[0].as_py(), Block.decode(own.column("data")[0].as_py()), got)
+        out = f(own.column("block")[0].as_py(), Block.decode(own.column("data")[0].as_py()), got)
+        del own, replies, got
+        give_back()
+        return out
 
     return blocks.select("block", "data").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
@@ -169,26 +187,41 @@ def powers(n: int, base: int) -> np.ndarray:
     if base not in _powers or len(_powers[base]) < n:
         out = np.full(max(n, 1024), np.uint64(base), dtype=np.uint64)
         out[0] = 1
-        _powers[base] = np.multiply.accumulate(out)
+        out = np.multiply.accumulate(out)
+        if n > KEPT:
+            return out[:n]
+        _powers[base] = out
     return _powers[base][:n]
 
 
 def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of text[start:end], by differences of a running polynomial and by the first bytes."""
-    run = np.zeros(len(text) + 1, dtype=np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers(len(text), _BASE), out=run[1:])
-    h = (run[ends] - run[starts]) * powers(len(text) + 1, _INVERSE)[starts]
-    return mixed(h + mixed((ends - starts).astype(np.uint64)))
-
-
-def lookup(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """64-bit hashes of text[start:end], by differences of a running polynomial and by the first bytes. Words come in
+    order; a stretch of HASHED bytes, or one longer word, is looked at at a time."""
+    out, at = np.empty(len(starts), dtype=np.uint64), 0
+    while at < len(starts):
+        upto = max(at + 1, int(np.searchsorted(ends, starts[at] + HASHED, side="right")))
+        lo, hi = int(starts[at]), int(ends[upto - 1])
+        run = np.zeros(hi - lo + 1, dtype=np.uint64)
+        np.cumsum((text[lo:hi].astype(np.uint64) + np.uint64(1)) * powers(hi - lo, _BASE), out=run[1:])
+        s, e = starts[at:upto] - lo, ends[at:upto] - lo
+        h = (run[e] - run[s]) * powers(hi - lo + 1, _INVERSE)[s]
+        out[at:upto] = mixed(h + mixed((e - s).astype(np.uint64)))
+        at = upto
+    return out
+
+
+def lookup(keys: np.ndarray, table: np.ndarray, step: int = 1 << 19) -> np.ndarray:
     """Index of each key in a sorted table that holds it: through a hash table, and a search for those that collide."""
-    bits = max(8, int(4 * len(table)).bit_length())
+    bits = max(8, int(2 * len(table)).bit_length())
     shift, factor = np.uint64(64 - bits), np.uint64(_BASE)
     slots = np.zeros(1 << bits, dtype=np.int32)
     slots[(table * factor) >> shift] = np.arange(len(table), dtype=np.int32)
-    at = slots[(keys * factor) >> shift]
-    wrong = np.flatnonzero(table[at] != keys)
-    if len(wrong):
-        at[wrong] = np.searchsorted(table, keys[wrong])
-    return at
+    out = np.empty(len(keys), dtype=np.int32)
+    for a in range(0, len(keys), step):
+        some = keys[a : a + step]
+        at = slots[(some * factor) >> shift]
+        wrong = np.flatnonzero(table[at] != some)
+        if len(wrong):
+            at[wrong] = np.searchsorted(table, some[wrong])
+        out[a : a + step] = at
+    return out

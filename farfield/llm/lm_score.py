@@ -7,10 +7,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farfield.llm.blocks import KEY_SCHEMA, Block, corpus_bytes, cuts, key_batch, lookup, make_blocks, mixed, over_blocks, packed, range_of, ranges, unpacked, with_answers, word_hashes
+from farfield.llm.blocks import KEY_SCHEMA, Block, corpus_bytes, cuts, give_back, key_batch, lookup, make_blocks, mixed, over_blocks, packed, range_of, ranges, unpacked, with_answers, word_hashes
 from farfield.llm.common import stored
 
 #: Bytes of context at most.
@@ -21,6 +22,10 @@ ALPHA = 0.1
 MERGED = 2_000_000
 #: Grams of the model that one task holds, about.
 MODEL_ROWS = 500_000
+#: Positions that codes are made of at a time.
+SLICE = 1 << 19
+#: Grams with one pair of last context bytes from which on the third tells their part, too.
+HOT = 1_000_000
 CODE = np.uint64
 OUT = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -42,16 +47,21 @@ class Stream:
         coded = np.zeros(len(self.bytes) + 1, dtype=np.int8)
         np.add.at(coded, self.starts, 1)
         np.add.at(coded, self.ends + 1, -1)
-        self.coded = np.flatnonzero(np.cumsum(coded[:-1], dtype=np.int8))
+        self.coded = np.flatnonzero(np.cumsum(coded[:-1], dtype=np.int8)).astype(np.int32 if len(coded) < 1 << 31 else np.int64)
         self.first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64)  # in coded, of the documents
         self.sizes = sizes + 1
 
     def codes(self) -> np.ndarray:
         """Of each coded position: ORDER bytes of context and the byte, as one integer."""
-        wide, n = self.bytes.astype(np.uint32), len(self.bytes)
-        near = (wide[1 : n - 4] << 24 | wide[2 : n - 3] << 16 | wide[3 : n - 2] << 8 | wide[4 : n - 1])[self.coded - 5]
-        far = wide[self.coded - 5].astype(CODE) << CODE(40)
-        return far | near.astype(CODE) << CODE(8) | self.bytes[self.coded]
+        out = np.empty(len(self.coded), dtype=CODE)
+        for a in range(0, len(out), SLICE):
+            at = self.coded[a : a + SLICE]
+            own = self.bytes[at - ORDER].astype(CODE)
+            for k in range(ORDER - 1, -1, -1):
+                own <<= CODE(8)
+                own |= self.bytes[at - k]
+            out[a : a + SLICE] = own
+        return out
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words, and the document of each."""
@@ -64,6 +74,12 @@ class Stream:
         return word_hashes(self.bytes, starts, ends), np.searchsorted(self.starts, starts, side="right") - 1
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys, sorted."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
 def folded(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -98,10 +114,11 @@ def gram_counts(blocks: DataFrame, n_ranges: int) -> DataFrame:
                 block = Block.decode(data.as_py())
                 stream = Stream(block)
                 held.append(counted(stream.codes(), np.repeat(~held_out(block), stream.sizes)))
-                if len(held) > 4:
+                if len(held) > 1:
                     held = [merged()]
                     if len(held[0][0]) > MERGED:
                         yield out(*held.pop())
+                give_back()
         if held:
             yield out(*merged())
 
@@ -124,9 +141,10 @@ class Suffixes:
         self.e1 = ((pairs > 0) * self.bytes).sum(1)  # counts that the byte's followers have without context
 
 
-def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: Suffixes) -> np.ndarray:
+def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: Suffixes, middle: np.ndarray | None = None) -> np.ndarray:
     """log10 of each code's last byte after its context, from the counts of all codes that share their last two
-    context bytes; codes sorted.
+    context bytes; codes sorted. With middle, codes hold all that share their last three context bytes, of which the
+    last two are one pair: middle has the counts of all bytes after that pair.
 
     Escape by method C: at each order, the symbols not yet excluded have their counts, and the escape as many as they
     are. Symbols seen at a longer context are excluded at shorter ones. A context never seen is passed over at no cost.
@@ -145,12 +163,19 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: Suffixes) -> n
 
     above_q, above_e = np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes), dtype=np.int64)
     for order in range(ORDER, 1, -1):
+        if order == 2 and middle is not None:
+            pair = low.pairs[int(codes[0] >> CODE(8) & CODE(255))] if len(codes) else middle
+            step(middle[symbols], middle.sum() - above_e, (middle > 0).sum() - above_q)
+            above_q, above_e = np.full(len(codes), (middle > 0).sum()), np.full(len(codes), pair[middle > 0].sum())
+            break
         own = codes & CODE((1 << 8 * (order + 1)) - 1)
         grams, c = folded(own, counts)
         seen = (c > 0).astype(np.int64)
         contexts, first, at = np.unique(grams >> CODE(8), return_index=True, return_inverse=True)
         n, q = np.add.reduceat(c, first), np.add.reduceat(seen, first)
-        if order > 2:
+        if order == 3 and middle is not None:
+            below = middle[(grams & CODE(255)).astype(np.int64)]
+        elif order > 2:
             shorter, c_short = folded(grams & CODE((1 << 8 * order) - 1), c)
             below = c_short[np.searchsorted(shorter, grams & CODE((1 << 8 * order) - 1))]
         else:
@@ -167,21 +192,36 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: Suffixes) -> n
     return out
 
 
-def model(grams: DataFrame) -> DataFrame:
-    """code, logp of every gram of the corpus."""
+def model(grams: DataFrame, hot: int = HOT, rows: int = MODEL_ROWS) -> DataFrame:
+    """code, logp of every gram of the corpus. A task has all grams of some pairs of last context bytes, or of one
+    triple where a pair has more than `hot` grams: 256 counts of such a pair go to all tasks, which is 2 KB for each
+    `hot` grams of the corpus, and 128 MB at the very most."""
+    pair, third = F.shiftright("code", 8).bitwiseAND(65535), F.shiftright("code", 24).bitwiseAND(255)
     pairs = np.zeros((256, 256), dtype=np.int64)
     for r in grams.groupBy((F.col("code").bitwiseAND(65535)).alias("pair")).agg(F.sum("n").alias("n")).collect():
         pairs[r["pair"] >> 8, r["pair"] & 255] = r["n"]
     low = Suffixes(pairs)
-    parts = min(65536, max(8, -(-grams.count() // MODEL_ROWS)))
+    sizes = [(r["pair"], r["grams"]) for r in grams.groupBy(pair.alias("pair")).agg(F.count("*").alias("grams")).collect()]
+    crowded = [p for p, n in sizes if n > hot]
+    middles = {p: np.zeros(256, dtype=np.int64) for p in crowded}
+    if crowded:
+        for r in grams.where(pair.isin(crowded)).groupBy(pair.alias("pair"), F.col("code").bitwiseAND(255).alias("byte")).agg(F.sum("n").alias("n")).collect():
+            middles[r["pair"]][r["byte"]] = r["n"]
+    parts = min(65536, max(8, -(-sum(n for _, n in sizes) // rows)))
 
     def score(group: pa.Table) -> pa.Table:
         codes, n = group.column("code").to_numpy().astype(CODE), group.column("n").to_numpy()
         order = np.argsort(codes)
-        return pa.table({"code": codes[order].astype(np.int64), "logp": log_probabilities(codes[order], n[order], low)})
+        codes, n = codes[order], n[order]
+        middle = middles.get(int(codes[0] >> CODE(8) & CODE(65535))) if group.column("part")[0].as_py() < 0 else None
+        out = pa.table({"code": codes.astype(np.int64), "logp": log_probabilities(codes, n, low, middle)})
+        give_back()
+        return out
 
-    suffix = F.shiftright("code", 8).bitwiseAND(65535)
-    return stored(grams.withColumn("part", F.pmod(F.xxhash64(suffix), F.lit(parts))).groupBy("part").applyInArrow(score, "code long, logp double"), "model")
+    part = F.pmod(F.xxhash64(pair), F.lit(parts))
+    if crowded:
+        part = F.when(pair.isin(crowded), -1 - (pair * 256 + third)).otherwise(part)
+    return stored(grams.withColumn("part", part).groupBy("part").applyInArrow(score, "code long, logp double"), "model")
 
 
 def splitters(grams: DataFrame, n: int) -> np.ndarray:
@@ -219,7 +259,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def keys(k: int, block: Block) -> Iterator[pa.RecordBatch]:
         stream, train = Stream(block), ~held_out(block)
-        codes = np.unique(stream.codes())
+        codes = distinct(stream.codes())
         parts = dict(enumerate(map(packed, np.split(codes, np.searchsorted(codes, at_codes)))))
         hashes, owner = stream.words()
         words, n = counted(hashes >> CODE(1), train[owner])
@@ -245,8 +285,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def gram_task(asked: pa.Table, known: pa.Table) -> pa.Table:
         codes, logp = known.column("code").to_numpy().astype(CODE), known.column("logp").to_numpy()
         order = np.argsort(codes)
-        codes, logp = codes[order], logp[order].astype(np.float32)
-        replies = [logp[np.searchsorted(codes, unpacked(x.as_py())[0])].tobytes() for x in asked.column("data")]
+        codes, logp = codes[order], logp[order]
+        replies = []
+        for x in asked.column("data"):
+            own = logp[np.searchsorted(codes, unpacked(x.as_py())[0])]
+            replies.append(zstandard.ZstdCompressor(level=1).compress(own.view(np.uint8).reshape(-1, 8).T.tobytes()))
+        give_back()
         return pa.table({"block": asked.column("block"), "range": asked.column("range"), "data": pa.array(replies, type=pa.binary())})
 
     by_range = grams.mapInArrow(ranged, "range int, code long, logp double")
@@ -255,9 +299,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def score(k: int, block: Block, got: dict[int, bytes]) -> pa.Table:
         stream = Stream(block)
         codes = stream.codes()
-        distinct = np.unique(codes)
-        logp = np.frombuffer(b"".join(got[r] for r in sorted(r for r in got if r >= 0)), dtype=np.float32).astype(np.float64)
-        scores = np.add.reduceat(logp[lookup(codes, distinct)], stream.first)
+        logp = np.concatenate([_doubles(got.pop(r)) for r in sorted(r for r in got if r >= 0)])
+        at = lookup(codes, distinct(codes))
+        del codes
+        scores = np.add.reduceat(logp[at], stream.first)
+        del at, logp
         hashes, owner = stream.words()
         words = np.unique(hashes >> CODE(1))
         replies = [got[r] for r in sorted((r for r in got if r < -1), reverse=True)]
@@ -277,6 +323,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return with_answers(blocks, replies, score, OUT).withColumnRenamed("id", id_col)
 
 
+def _doubles(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1).T).view(np.float64).reshape(-1)
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [np.frombuffer(x.as_py(), dtype=np.int64) for x in batch.column(0)]
