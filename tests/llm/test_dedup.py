@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from farfield.llm import embedding_dedup, minhash_dedup, suffix_dedup
+from farfield.llm import exact_dedup as exact_module
 from farfield.llm.components import components
 from farfield.llm.exact_dedup import directory, drop_copies, exact_dedup
 
@@ -41,6 +42,28 @@ def test_exact_of_nothing(nothing):
     assert exact_dedup(nothing).count() == 0 and drop_copies(nothing).count() == 0
 
 
+def test_exact_by_small_buckets(spark, awkward, monkeypatch):
+    """Many buckets, and hashes that collide, give the same; rows are found by the directory alone."""
+    want = sorted(map(tuple, exact_dedup(awkward).collect()), key=str)
+    assert sorted(map(tuple, exact_dedup(awkward, bucket_rows=2).collect()), key=str) == want
+    index = exact_module.Index(awkward, bucket_rows=2)
+    buckets = index.buckets.collect()
+    assert len({r["bucket"] for r in buckets}) > 10 and max(Counter(r["bucket"] for r in buckets).values()) <= 2
+    assert all((r["h"] % 2**64) >> (64 - r["depth"]) << (index.depth - r["depth"]) == r["bucket"] for r in buckets if r["depth"])
+    whole = exact_module.F.xxhash64
+    monkeypatch.setattr(exact_module.F, "xxhash64", lambda t: exact_module.F.pmod(whole(t), exact_module.F.lit(3)))
+    assert sorted(map(tuple, exact_dedup(awkward, bucket_rows=2).collect()), key=str) == want
+    monkeypatch.setattr(exact_module, "directory", lambda entries, *a: directory(entries, *a).where("bucket < 0"))
+    assert exact_dedup(awkward).count() == 0
+
+
+def test_exact_keeps_the_same_row_of_twins(spark):
+    rows = [(1, "same", "b", "y"), (1, "same", "a", "x"), (1, "same", None, "z"), (0, "same", "a", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = [tuple(drop_copies(docs.repartition(n)).collect()[0]) for n in (1, 2, 3)]
+    assert len(set(kept)) == 1 and kept[0][0] == 1
+
+
 def test_directory_splits_only_full_buckets(spark):
     index = spark.range(4000).selectExpr("xxhash64(id) AS h")
     slots = directory(index, bucket_rows=100, max_depth=10).collect()
@@ -166,18 +189,108 @@ def test_bands_meet_at_the_similarity():
     assert np.mean(np.array(agree) > 0) > 0.98 and 0.25 < np.mean(agree) / minhash_dedup.BANDS < 0.6
 
 
-@pytest.mark.parametrize("width", [3, 64])
-def test_cover_trees_find_exactly_the_pairs(width):
-    rng = np.random.default_rng(width)
-    a, b = rng.normal(size=(500, width)), rng.normal(size=(300, width))
-    a[10:40] = a[0] + 0.02 * rng.normal(size=(30, width))
+def brute_vectors(rows):
+    """Links and component of each row (by place), for rows of (id, vector, label)."""
+    unit = [None] * len(rows)
+    for k, (i, v, label) in enumerate(rows):
+        if i is not None and label is not None and v and None not in v and np.isfinite(v).all() and any(v):
+            x = np.array(v) / np.abs(v).max()
+            unit[k] = x / np.linalg.norm(x)
+    links, root = [0] * len(rows), list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k in range(len(rows)):
+        for m in range(k):
+            if unit[k] is not None and unit[m] is not None and rows[k][2] == rows[m][2] and len(unit[k]) == len(unit[m]) and unit[k] @ unit[m] >= 0.93:
+                links[k], links[m] = links[k] + 1, links[m] + 1
+                root[top(k)] = top(m)
+    least = {}
+    for k, r in enumerate(rows):
+        least[top(k)] = min(least.get(top(k), math.inf), math.inf if r[0] is None else r[0])
+    return [(r[0], links[k], None if r[0] is None else least[top(k)]) for k, r in enumerate(rows)]
+
+
+def clustered(seed, n, width, spread):
+    """Groups of near vectors of many widths, and vectors by themselves."""
+    rng = np.random.default_rng(seed)
+    heads = rng.normal(size=(n // 8, width))
+    return heads[rng.integers(0, len(heads), n)] + spread * rng.exponential(size=(n, 1)) * rng.normal(size=(n, width))
+
+
+@pytest.mark.parametrize("width", [2, 3, 8, 64])
+def test_cover_trees_find_exactly_the_links(width):
+    a, b = clustered(width, 500, width, 0.15), clustered(width, 300, width, 0.2)
+    a[10:40] = a[0] + 0.02 * np.random.default_rng(1).normal(size=(30, width))
     b[5] = a[0]
     for other in (None, b):
-        i, j = embedding_dedup.linked_pairs(a, other)
-        right = a if other is None else other
-        cos = a @ right.T / np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(right, axis=1)) >= 0.93
-        want = np.triu(cos, 1) if other is None else cos
-        assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(zip(*(x.tolist() for x in np.nonzero(want)), strict=True))
+        got = embedding_dedup.linked_pairs(a, other)
+        every = a if other is None else np.concatenate([a, other])
+        unit = every / np.linalg.norm(every, axis=1)[:, None]
+        near = unit @ unit.T >= 0.93
+        np.fill_diagonal(near, False)
+        if other is not None:
+            near[:500, :500] = near[500:, 500:] = False
+        assert got.links.tolist() == near.sum(1).tolist()
+        i, j = np.nonzero(near)
+        assert got.roots.tolist() == embedding_dedup.joined(len(every), i, j).tolist()
+
+
+def test_levels_are_nested_covers():
+    unit = embedding_dedup.unit_rows(clustered(4, 400, 6, 0.3))
+    tree = embedding_dedup.CoverTree(unit, embedding_dedup.reach_of(0.93))
+    assert sorted(tree.order.tolist()) == list(range(400)) and (tree.unit == unit[tree.order]).all()
+    for k in range(len(tree.firsts)):
+        scale, begins, below = 2.0 / 2**k, tree.begins[k], tree.begins[k + 1]
+        for i, (s, e) in enumerate(zip(begins, begins[1:], strict=False)):
+            far = np.linalg.norm(tree.unit[s:e] - tree.unit[s], axis=1).max()
+            assert far <= scale + 1e-12 and abs(far - tree.radii[k][i]) < 1e-7
+            kids = below[tree.firsts[k][i] : tree.firsts[k][i + 1]]
+            assert kids[0] == s and (kids < e).all()
+            heads = tree.unit[kids]
+            apart = np.linalg.norm(heads[:, None] - heads[None], axis=2)[np.triu_indices(len(heads), 1)]
+            assert k + 2 == len(tree.begins) or (apart > scale / 2).all()
+
+
+def test_trees_compare_few_pairs_of_clustered_vectors():
+    """Of 4,000 vectors in 500 groups, the trees look at under a tenth of all pairs."""
+    got = embedding_dedup.linked_pairs(clustered(9, 4000, 5, 0.05))
+    assert got.links.sum() > 0 and got.compared <= got.looked < 4000 * 3999 / 2 / 10
+    one = embedding_dedup.linked_pairs(1 + 0.01 * np.random.default_rng(1).normal(size=(3000, 64)))
+    assert one.compared == 0 and (one.links == 2999).all() and not one.roots.any()  # a group is linked as a whole
+
+
+def vectors_match(got, rows):
+    got = [(r["vec_id"], r["n_links"], r["component_id"]) for r in got]
+    order = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(got, key=order) == sorted(brute_vectors(rows), key=order)
+
+
+@pytest.mark.parametrize(("block", "fan"), [(2000, 32), (40, 4), (8, 2)])
+def test_split_cells_lose_no_link(spark, monkeypatch, block, fan):
+    monkeypatch.setattr(embedding_dedup, "FAN", fan)
+    monkeypatch.setattr(embedding_dedup, "CHUNK_ROWS", 60)
+    v = clustered(5, 300, 3, 0.2)
+    rows = [(k, v[k].tolist(), 1 if k % 3 else 2) for k in range(300)]
+    got = embedding_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block_rows=block)
+    vectors_match(got.collect(), rows)
+
+
+def test_repeated_ids_tiny_and_huge_vectors(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [0.01, 1.0], 0), (4, [0.99, 0.02], 0)]
+    rows += [(5, [1e-170, 0.0], 7), (6, [1e-300, 1e-302], 7), (7, [1e300, 1e298], 7), (None, [1.0, 0.0], 0), (8, [0.0, -0.0], 0), (9, [], 0), (10, [3.0], 0), (11, [5.0], 0), (12, [float("inf"), 1.0], 0)]
+    frame = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "vec_id long, embedding array<double>, label int, uid int, cell int, h int, id int")
+    vectors_match(embedding_dedup.link_vectors(frame).collect(), rows)
+    assert embedding_dedup.link_vectors(frame.limit(0)).collect() == []
+
+
+def test_long_vectors_and_many_copies(spark):
+    long = [float(k % 7) for k in range(5000)]
+    rows = [(k, long, 3) for k in range(60)] + [(100, [x + 0.01 for x in long], 3), (101, [-x for x in long], 3)]
+    vectors_match(embedding_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect(), rows)
 
 
 def test_vectors(spark):

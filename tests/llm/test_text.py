@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farfield.llm import edit_counts, lm_score, mixing, packing
+from farfield.llm.blocks import make_blocks
 from farfield.llm.html_text import extract_pages, main_text
 from farfield.llm.quality import features, fit, judge
 from farfield.llm.token_ids import WordIds
@@ -206,6 +207,45 @@ def test_probabilities_sum_to_one():
         assert abs(sum(10 ** p for c, p in zip(codes.tolist(), logp, strict=True) if c in asked) - 1) < 1e-9
 
 
+class Trie:
+    """The model by the book: of each context of up to ORDER bytes, how often each byte follows it."""
+
+    def __init__(self, texts):
+        self.after = {}
+        for t in texts:
+            for k in range(lm_score.ORDER, len(t)):
+                for n in range(lm_score.ORDER + 1):
+                    self.after.setdefault(t[k - n : k], Counter())[t[k]] += 1
+
+    def log10(self, t):
+        total = 0.0
+        for k in range(lm_score.ORDER, len(t)):
+            excluded, found = set(), False
+            for n in range(lm_score.ORDER, -1, -1):
+                here = {s: c for s, c in self.after.get(t[k - n : k], {}).items() if s not in excluded}
+                if here and not found:
+                    whole = sum(here.values()) + len(here)
+                    found = t[k] in here
+                    total += math.log10((here[t[k]] if found else len(here)) / whole)
+                    excluded |= set(here)
+            total -= 0 if found else math.log10(max(1, 256 - len(excluded)))
+        return total
+
+
+@pytest.mark.parametrize(("hot", "rows"), [(lm_score.HOT, lm_score.MODEL_ROWS), (20, 300)])
+def test_scores_are_those_of_a_plain_trie(spark, awkward, monkeypatch, hot, rows):
+    """Whole documents, with all grams of a pair in one task, and with pairs split by the third byte."""
+    monkeypatch.setattr(lm_score.model, "__defaults__", (hot, rows))
+    monkeypatch.setattr(lm_score, "make_blocks", lambda d, i, t, size=3000: make_blocks(d, i, t, size))
+    stream = lambda r: lm_score.PAD + b" ".join((r["text"] or "").encode().lower().split()) + b"\0"
+    held = lambda r: crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 10 == 0
+    docs = awkward.where("length(text) < 3000 or text is null")
+    every = docs.collect()
+    trie = Trie([stream(r) for r in every if not held(r)])
+    want = sorted((str(r["doc_id"]), round(trie.log10(stream(r)), 8)) for r in every)
+    assert sorted((str(r["doc_id"]), round(r["score"], 8)) for r in lm_score.lm_scores(docs).collect()) == want
+
+
 def test_quality(spark, nothing):
     rng = random.Random(3)
     words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 7))) for _ in range(200)]
