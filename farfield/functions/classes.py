@@ -20,9 +20,10 @@ def default_edges() -> list[int]:
 
 
 def checked_edges(edges: list[int]) -> list[int]:
-    """edges if they are 254 whole metres that begin at 0 and increase; an error otherwise."""
-    if len(edges) != EDGE or any(int(e) != e for e in edges) or edges[0] != 0 or any(b <= a for a, b in zip(edges, edges[1:], strict=False)):
-        raise ValueError("class edges are 254 whole metres that start at 0 and increase strictly")
+    """The edges, if they could stand for BANDS: as many steps, each a positive number of whole metres, from 0 on."""
+    steps = [b - a for a, b in zip(edges, edges[1:], strict=False)]
+    if list(edges[:1]) != [BANDS[0][0]] or len(steps) != len(default_edges()) - 1 or not all(s > 0 and s % 1 == 0 for s in steps):
+        raise ValueError(f"not {EDGE} rising whole metres from {BANDS[0][0]} on")
     return [int(e) for e in edges]
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farfield.functions.tags import in_scenario
+from farfield.functions.tags import ROADS_A, ROADS_B, in_scenario
 from farfield.operators.segments import supercover
 
 SIDE, RES = 200_000, 1000
@@ -79,8 +79,7 @@ def water_cells(spark: SparkSession, sf_dir: str, least: int = 4800) -> DataFram
     return rows.where(f"row < {CELLS} and col < {CELLS}").select("row", "col").distinct()
 
 
-TAGS_B = "'motorway','trunk','primary','secondary','tertiary','unclassified','residential','living_street','service','road','busway','motorway_link','trunk_link','primary_link','secondary_link','tertiary_link'"
-TAGS_A = TAGS_B + ",'track'"
+TAGS_A, TAGS_B = (", ".join(f"'{t}'" for t in tags) for tags in (ROADS_A, ROADS_B))
 
 VIEWS = {
     "roads": """roads AS (

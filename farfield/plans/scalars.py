@@ -38,7 +38,7 @@ def p01(spark, d):
 
 @query("p02_scenario_filter", with_views("roads", f"SELECT way_id, highway, name FROM roads WHERE highway IN ({TAGS_B})"))
 def p02(spark, d):
-    return fx.roads(spark, d).where(tags.where_text("B")).select("way_id", "highway", "name")
+    return fx.roads(spark, d).where(c("highway").isin(*tags.ROADS_B)).select("way_id", "highway", "name")
 
 
 @query("p03_scenario_layers", with_views("roads", f"SELECT 'A' AS scenario, way_id, highway, name FROM roads WHERE highway IN ({TAGS_A}) UNION ALL SELECT 'B', way_id, highway, name FROM roads WHERE highway IN ({TAGS_B})"))

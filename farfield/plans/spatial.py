@@ -330,22 +330,135 @@ def t01(spark, d):
     return _candidates(spark, d, "A").select("row", "col", F.row_number().over(Window.partitionBy("unit_id").orderBy(c("d2").desc(), "row", "col")).cast("long").alias("nth"), "unit_id")
 
 
-@query("t02_search")
+def greedy_sql(keys: str, n: int, apart: int, cap: int | None = None) -> str:
+    """CTEs taken0 .. takenK over `open_points` (keys, id, x, y, dist, island): each step takes the best point of each
+    group that none taken shuts out; the last holds all, with their ranks."""
+    same = " AND ".join(f"a.{k.strip()} = p.{k.strip()}" for k in keys.split(","))
+    steps = ["taken0 AS (SELECT *, 0 AS rank FROM open_points WHERE false)"]
+    for k in range(1, n + (cap or 0) + 1):
+        held = lambda what: f"(SELECT count(*) FROM taken{k - 1} a WHERE {same}{what})"  # noqa: B023, E731
+        rules = f"{held('')} < {n}" if cap is None else f"{held(' AND NOT a.island')} < {n} AND (NOT p.island OR {held(' AND a.island')} < {cap})"
+        steps.append(f"""taken{k} AS MATERIALIZED (SELECT * FROM taken{k - 1} UNION ALL SELECT * EXCLUDE (nth), {k} AS rank FROM (
+  SELECT p.*, row_number() OVER (PARTITION BY {keys} ORDER BY dist DESC, id) AS nth FROM open_points p
+  WHERE NOT EXISTS (SELECT 1 FROM taken{k - 1} a WHERE {same} AND (a.x - p.x) * (a.x - p.x) + (a.y - p.y) * (a.y - p.y) < {apart * apart}) AND {rules}) WHERE nth = 1)""")
+    return ",\n".join(steps)
+
+
+def _sql(views: str, more: str, body: str) -> str:
+    """body over the named views and further CTEs."""
+    return with_views(views, "") + ",\n" + more + "\n" + body
+
+
+LATTICE = [(a, b) for a in (-300, 0, 300) for b in (-300, 0, 300)]
+_LATTICE_SQL = ", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(LATTICE))
+
+
+def _refined_sql(tags: str, scenario: str) -> str:
+    """The farthest allowed lattice point of every dry cell, by trying all of them against all roads."""
+    return f"""SELECT '{scenario}' AS scenario, unit_id, id, px AS x, py AS y, dist, false AS island FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist DESC, k) AS n FROM
+  (SELECT unit_id, id, k, px, py, CAST(min(floor({DIST} * 1000)) AS BIGINT) AS dist FROM (SELECT *, {SHARE} AS t FROM lattice, (SELECT * FROM roads WHERE highway IN ({tags}))) GROUP BY ALL)) WHERE n = 1"""
+
+
+LATTICE_VIEWS = f"""lattice AS (SELECT {UNIT_OF} AS unit_id, row * 200 + col AS id, k, col * 1000 + 500 + b AS px, row * 1000 + 500 + a AS py
+ FROM (SELECT * FROM cells ANTI JOIN water_cells USING (row, col)), (VALUES {_LATTICE_SQL}) t(k, a, b)
+ WHERE NOT EXISTS (SELECT 1 FROM water w WHERE side >= 4800 AND col * 1000 + 500 + b >= w.x AND col * 1000 + 500 + b < w.x + side AND row * 1000 + 500 + a >= w.y AND row * 1000 + 500 + a < w.y + side))"""
+
+
+def allowed_points(spark, d, points: DataFrame, keys: list[str]) -> DataFrame:
+    """Points (keys, px, py) that lie in no big water."""
+    big = fx.water(spark, d).where("side >= 4800").select("water_id")
+    edges = polygons.ring_edges(fx.water_corners(spark, d).join(big, "water_id", "left_semi"), ["water_id"])
+    return points.join(polygons.points_in_polygons(points, edges, keys, ["water_id"], 10000).select(*keys).distinct(), keys, "left_anti")
+
+
+def lattice_of(cells: DataFrame) -> DataFrame:
+    """Each cell's lattice points: k, px, py."""
+    offsets = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b) in enumerate(LATTICE)]))
+    return cells.withColumn("_o", offsets).select("*", c("_o.k").alias("k"), (c("cell") % CELLS * RES + RES // 2 + c("_o.b")).alias("px"), (F.floor(c("cell") / CELLS) * RES + RES // 2 + c("_o.a")).alias("py")).drop("_o")
+
+
+def refine_cells(spark, d, scenario: str):
+    """The function that finds each cell's farthest allowed lattice point, in whole millimetres from the exact nearest road."""
+    ways = fx.roads(spark, d).where(in_scenario(c("highway"), scenario))
+
+    def refine(cells: DataFrame) -> DataFrame:
+        points = allowed_points(spark, d, lattice_of(cells).withColumn("bound", F.ceil(c("upper") / 1000) + 1), ["unit_id", "cell", "k"])
+        near = segments.nearest_segment(points, ways, 5000, ["unit_id", "cell", "k", "px", "py"]).withColumn("mm", F.floor(c("dist") * 1000))
+        best = near.groupBy("unit_id", "cell").agg(F.max_by(F.struct("px", "py", "mm"), F.struct("mm", -c("k"))).alias("b"))
+        return best.select("unit_id", "cell", c("b.px").alias("x"), c("b.py").alias("y"), c("b.mm").alias("dist"))
+
+    return refine
+
+
+def search_scenario(spark, d, scenario: str, n: int, apart: float) -> DataFrame:
+    """Cells of each unit with the bounds of their distances, and the n farthest points that refining them gives."""
+    upper = F.ceil((F.sqrt(c("d2").cast("double")) * RES + 2 * half_diagonal(RES)) * 1000)
+    cells = _candidates(spark, d, scenario).select("unit_id", (c("row") * CELLS + c("col")).alias("cell"), upper.alias("upper"), F.lit(False).alias("island"))
+    found = search.search_units(cells, refine_cells(spark, d, scenario), ["unit_id"], n, apart)
+    return found.select(F.lit(scenario).alias("scenario"), "unit_id", "rank", "cell", "x", "y", c("dist").alias("dist_mm"))
+
+
+_FOUND = "SELECT scenario, unit_id, rank, id AS cell, x, y, dist AS dist_mm FROM taken3"
+
+
+@query("t02_search", _sql("roads water cells water_cells", f"{LATTICE_VIEWS},\nopen_points AS MATERIALIZED ({_refined_sql(TAGS_A, 'A')}),\n{greedy_sql('scenario, unit_id', 3, 6000)}", _FOUND))
 def t02(spark, d):
-    """Branch and bound per unit: the five farthest points at least 6 km apart, with what each would refine to."""
-    cells = _candidates(spark, d, "A").withColumn("x", c("col") * 1.0 * RES + RES / 2).withColumn("y", c("row") * 1.0 * RES + RES / 2)
-    coarse = F.sqrt(c("d2").cast("double")) * RES
-    cells = cells.withColumn("upper", coarse + 2 * half_diagonal(RES)).withColumn("dist", coarse + (c("row") * 7 + c("col") * 13) % 400).withColumn("island", F.lit(False))
-    return search.search_units(cells.select("unit_id", "row", "col", "x", "y", "upper", "dist", "island"), ["unit_id"], 5, 6000.0)
+    """Branch and bound: of each unit the three farthest points at least 6 km apart, refined on a lattice against the roads."""
+    return search_scenario(spark, d, "A", 3, 6000.0)
+
+
+@query("c01_search_unit", _sql("roads water cells water_cells", f"{LATTICE_VIEWS},\nopen_points AS MATERIALIZED ({_refined_sql(TAGS_A, 'A')} UNION ALL {_refined_sql(TAGS_B, 'B')}),\n{greedy_sql('scenario, unit_id', 3, 6000)}",
+  "SELECT scenario, unit_id, count(*) AS points, max(dist) AS best_mm, max(dist) >= 60000000 AS saturated, sum(id) AS cells, count(*) < 3 AS exhausted FROM taken3 GROUP BY ALL"))
+def c01(spark, d):
+    """Per unit and scenario, what its search came to: how many points, the best, and whether the transform's cap was met."""
+    both = search_scenario(spark, d, "A", 3, 6000.0).unionByName(search_scenario(spark, d, "B", 3, 6000.0))
+    out = both.groupBy("scenario", "unit_id").agg(F.count("*").alias("points"), F.max("dist_mm").alias("best_mm"), F.sum("cell").alias("cells"))
+    return out.withColumn("saturated", c("best_mm") >= 60_000_000).withColumn("exhausted", c("points") < 3)
+
+
+@query("g14_refine_cell", _sql("roads water cells water_cells", f"{LATTICE_VIEWS},\nopen_points AS ({_refined_sql(TAGS_B, 'B')})", "SELECT unit_id, id AS cell, x, y, dist AS dist_mm FROM open_points"))
+def g14(spark, d):
+    """Every dry cell's farthest allowed lattice point."""
+    upper = F.ceil((F.sqrt(c("d2").cast("double")) * RES + 2 * half_diagonal(RES)) * 1000)
+    cells = _candidates(spark, d, "B").select("unit_id", (c("row") * CELLS + c("col")).alias("cell"), upper.alias("upper"))
+    return refine_cells(spark, d, "B")(cells).withColumnRenamed("dist", "dist_mm")
 
 
-@query("t03_greedy_accept")
+@query("p14_allowed_points", _sql("water cells water_cells", LATTICE_VIEWS, "SELECT unit_id, id AS cell, k, px, py FROM lattice"))
+def p14(spark, d):
+    """Lattice points of dry cells that lie in no big water themselves."""
+    cells = raster.frame(spark, CELLS, CELLS).join(fx.water_cells(spark, d), ["row", "col"], "left_anti").select(_unit().alias("unit_id"), (c("row") * CELLS + c("col")).alias("cell"))
+    return allowed_points(spark, d, lattice_of(cells), ["unit_id", "cell", "k"]).select("unit_id", "cell", "k", "px", "py")
+
+
+@query("t03_greedy_accept", _sql("edt water_cells", f"open_points AS MATERIALIZED (SELECT {UNIT_OF} AS unit_id, row * 200 + col AS id, col AS x, row AS y, d2 AS dist, false AS island FROM da ANTI JOIN water_cells USING (row, col)),\n{greedy_sql('unit_id', 5, 8)}", "SELECT unit_id, id AS cell, x, y, -dist AS \"order\", CAST(rank AS BIGINT) AS rank FROM taken5"))
 def t03(spark, d):
     """Greedy acceptance of the farthest cells at least 8 km apart."""
     cells = _candidates(spark, d, "A").select("unit_id", c("col").alias("x"), c("row").alias("y"), (-c("d2")).alias("order"), (c("row") * CELLS + c("col")).alias("cell"))
     return search.greedy(cells, ["unit_id"], ["order", "cell"], 5, 8.0)
 
 
+_QUOTA = "open_points AS MATERIALIZED (SELECT unit_id, scenario, event_id AS id, x, y, dist_cm AS dist, island IS NOT NULL AS island FROM points)"
+
+
+@query("t04_quota", _sql("points", f"{_QUOTA},\n{greedy_sql('unit_id, scenario', 3, 20000, 2)}", "SELECT unit_id, scenario, id AS event_id, island, rank FROM taken5"))
+def t04(spark, d):
+    """Points 20 km apart until three are off islands, with at most two on islands meanwhile."""
+    rows = fx.points(spark, d).select("unit_id", "scenario", "event_id", "x", "y", (-c("dist_cm")).alias("down"), c("island").isNotNull().alias("on"))
+    return search.greedy(rows, ["unit_id", "scenario"], ["down", "event_id"], 3, 20000.0, 2, "on").select("unit_id", "scenario", "event_id", c("on").alias("island"), "rank")
+
+
+@query("t08_legacy_greedy", _sql("edt water_cells", f"""far AS (SELECT {UNIT_OF} AS unit_id, row * 200 + col AS id, col AS x, row AS y, d2 AS dist, false AS island FROM da ANTI JOIN water_cells USING (row, col)),
+open_points AS MATERIALIZED (SELECT * FROM far JOIN (SELECT unit_id, max(dist) AS top FROM far GROUP BY 1) USING (unit_id) WHERE dist * 1000000 >= 600 * 600 AND dist * 10000 >= 900 * top),
+{greedy_sql('unit_id', 4, 10)}""", "SELECT unit_id, id AS cell, dist AS d2, rank FROM taken4"))
+def t08(spark, d):
+    """The older rule: of cells at 600 m or more and above three tenths of the unit's best, four that are 10 km apart."""
+    cells = _candidates(spark, d, "A").select("unit_id", c("col").alias("x"), c("row").alias("y"), "d2", (-c("d2")).alias("down"), (c("row") * CELLS + c("col")).alias("cell"))
+    best = cells.groupBy("unit_id").agg(F.max("d2").alias("top"))
+    high = cells.join(best, "unit_id").where("d2 * 1000000 >= 600 * 600 AND d2 * 10000 >= 900 * top").drop("top")
+    return search.greedy(high, ["unit_id"], ["down", "cell"], 4, 10.0).select("unit_id", "cell", "d2", "rank")
+
+
 @query("t06_farthest_allowed", with_views("edt water_cells", f"SELECT unit_id, row, col, d2 FROM (SELECT {UNIT_OF} AS unit_id, row, col, d2, row_number() OVER (PARTITION BY {UNIT_OF} ORDER BY d2 DESC, row, col) AS n FROM da ANTI JOIN water_cells USING (row, col)) WHERE n = 1"))
 def t06(spark, d):
     key = F.struct("d2", (-(c("row") * CELLS + c("col"))).alias("k"))

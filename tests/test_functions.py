@@ -21,7 +21,6 @@ def test_classify(spark, tag, a, b):
 
 def test_scenario_text_has_the_sets():
     assert set(tags.ROADS_A) - set(tags.ROADS_B) == {"track"}
-    assert tags.where_text("A").count("'") == 2 * len(tags.ROADS_A)
 
 
 @pytest.mark.parametrize(

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,28 +118,64 @@ def _model(dist, xs, ys, n, apart):
     return taken
 
 
-@pytest.mark.parametrize("seed", range(12))
-def test_search_finds_what_refining_all_would(seed):
-    rng = np.random.default_rng(seed)
-    n = 400
-    xs, ys, dist = rng.uniform(0, 100, n), rng.uniform(0, 100, n), rng.uniform(0, 1000, n)
-    upper = dist + rng.uniform(0, 80, n)
-    found = search.search(upper, lambda i: search.Found(xs[i], ys[i], dist[i], i), search.Count(6), 12.0)
-    assert [p.cell for p in found.accepted] == _model(dist, xs, ys, 6, 12.0)
-    assert found.refined < n
-
-
-def test_island_quota():
-    dist = np.arange(40, 0, -1).astype(float)
-    island = np.arange(40) % 2 == 0
-    found = search.search(dist + 1, lambda i: search.Found(i, 0, dist[i], i, bool(island[i])), search.MainlandAndIslands(3), islands=island)
-    assert sum(not p.island for p in found.accepted) == 3 and sum(p.island for p in found.accepted) == 3
-    assert not found.exhausted
+def _model_with_islands(order, xs, ys, island, n, cap, apart):
+    taken, main = [], 0
+    for i in order:
+        if all(math.hypot(xs[i] - xs[j], ys[i] - ys[j]) >= apart for j in taken) and not (island[i] and sum(island[j] for j in taken) >= cap):
+            taken.append(int(i))
+            main += not island[i]
+            if main == n:
+                break
+    return taken
 
 
-def test_search_exhausts():
-    found = search.search(np.array([5.0, 4.0]), lambda i: None, search.Count(1))
-    assert found.exhausted and not found.accepted and found.refined == 2
+@pytest.mark.parametrize("seed", range(40))
+def test_spread_out(seed):
+    rng = np.random.default_rng(seed)
+    xs, ys, island = rng.integers(0, 30, 200), rng.integers(0, 30, 200), rng.random(200) < 0.5
+    assert search.spread_out(xs, ys, island, 9.0, 6, None) == _model(-np.arange(200.0), xs, ys, 6, 9.0)
+    assert search.spread_out(xs, ys, island, 6.0, 5, 2) == _model_with_islands(range(200), xs, ys, island, 5, 2, 6.0)
+
+
+@pytest.mark.parametrize("cap", [None, 2])
+def test_search_finds_what_refining_all_would(spark, cap):
+    rng = np.random.default_rng(3)
+    rows, refined = [], []
+    for unit in range(5):
+        n = 300 if unit else 4
+        dist = rng.uniform(0, 1000, n).round(1)
+        rows += [(unit, k, float(dist[k] + rng.uniform(0, 80)), bool(rng.random() < 0.4), float(rng.uniform(0, 100)), float(rng.uniform(0, 100)), float(dist[k])) for k in range(n)]
+    frame = spark.createDataFrame(rows, "unit long, cell long, upper double, island boolean, x double, y double, dist double")
+
+    def refine(cells):
+        refined.append(cells.count())
+        return cells.select("unit", "cell").join(frame.select("unit", "cell", "x", "y", "dist"), ["unit", "cell"])
+
+    got = search.search_units(frame.select("unit", "cell", "upper", "island"), refine, ["unit"], 4, 12.0, cap).collect()
+    for unit in range(5):
+        own = sorted((r for r in rows if r[0] == unit), key=lambda r: (-r[6], r[1]))
+        xs, ys = [r[4] for r in own], [r[5] for r in own]
+        island = [r[3] and cap is not None for r in own]
+        want = _model_with_islands(range(len(own)), xs, ys, island, 4, 2, 12.0)
+        assert [r["cell"] for r in sorted((r for r in got if r["unit"] == unit), key=lambda r: r["rank"])] == [own[k][1] for k in want]
+    assert sum(refined) < len(rows)
+
+
+def test_labels_of_blocks():
+    from farfield.operators.components import _label
+
+    rng = np.random.default_rng(1)
+    cells = [(g, int(r), int(k)) for g in "ab" for r in range(40) for k in range(40) if rng.random() < 0.4]
+    got = _label(pd.DataFrame(cells, columns=["g", "row", "col"]))
+    root = {}
+    for start in sorted(cells):
+        todo = [start] if start not in root else []
+        while todo:
+            g, r, k = cell = todo.pop()
+            if cell in set(cells) and cell not in root:
+                root[cell] = start
+                todo += [(g, r + a, k + b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+    assert {(r.g, r.row, r.col): (r.g, r.lr, r.lc) for r in got.itertuples()} == root
 
 
 def test_grid_shift_rules(spark):
