@@ -15,11 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under spark.checkpoint.dir, which driver and executors share. Its folder goes when the session's JVM ends.
 
-    Where the setting is absent (tests in one process), a temporary folder becomes the checkpoint folder.
+    Where the setting is absent, a temporary folder becomes the checkpoint folder within one process (tests); on a
+    cluster executors couldn't see it, so that is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if sc.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="farfield-"))
         base = sc.getCheckpointDir()
     path = f"{base.rstrip('/')}/farfield-{uuid.uuid4().hex}-{name}"

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farfield.llm.blocks import word_hashes
 from farfield.llm.common import stored
 
 #: Labelled documents that the document classifier is fitted on, at most; chosen by a hash of the id.
@@ -30,15 +31,24 @@ CLASSES[list(b"\n\r\x0b\x0c")] = 4
 _marks = [c for c in range(33, 127) if not chr(c).isalnum()]
 CLASSES[_marks] = np.arange(6, 6 + len(_marks))
 N = 6 + len(_marks)
-WIDTH = N * N + 2
+#: Slots that lower-cased words are hashed into, and what their part weighs beside that of the pairs of classes.
+WORDS, WORD_WEIGHT = 1024, 0.5
+WIDTH = N * N + WORDS + 2
 
 
 def features(text: bytes) -> np.ndarray:
-    """Square roots of the shares of pairs of byte classes, the share of distinct words, and the length."""
+    """Square roots of the shares of pairs of byte classes and of hashed words, the share of distinct words, and the
+    length. The whole text counts."""
     out = np.zeros(WIDTH)
     if len(text) > 1:
         kinds = CLASSES[np.frombuffer(text, dtype=np.uint8)]
         out[: N * N] = np.sqrt(np.bincount(kinds[:-1] * N + kinds[1:], minlength=N * N) / (len(kinds) - 1))
+    words = text.lower().split()
+    if words:
+        plain = np.frombuffer(b" ".join([b"", *words, b""]), dtype=np.uint8)
+        edges = np.flatnonzero(plain == 32)
+        hashes = word_hashes(plain, edges[:-1] + 1, edges[1:])
+        out[N * N : -2] = WORD_WEIGHT * np.sqrt(np.bincount((hashes % np.uint64(WORDS)).astype(np.int64), minlength=WORDS) / len(words))
     words = text.split()
     out[-2] = len(set(words)) / (1 + len(words))
     out[-1] = np.log1p(len(words)) / 10
@@ -64,7 +74,7 @@ def fit(rows: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float, float]:
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [features((t or "").encode()).astype(np.float32).tobytes() for t in batch.column(0).to_pylist()]
+        rows = [features((t or "").encode()).astype(np.float16).tobytes() for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.binary()), batch.column(1)], names=["x", "good"])
 
 
@@ -75,7 +85,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     part = max(1, -(-known.count() // most))
     sample = known.where(F.pmod(F.xxhash64("id"), F.lit(part)) == 0)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(sample), "id").select("t", "good").mapInArrow(_featured, "x binary, good double").collect()
-    x = np.array([np.frombuffer(r["x"], dtype=np.float32) for r in rows], dtype=np.float32).reshape(len(rows), WIDTH)
+    x = np.zeros((len(rows), WIDTH), dtype=np.float32)
+    for k, r in enumerate(rows):
+        x[k] = np.frombuffer(r["x"], dtype=np.float16)
     return fit(x, np.array([r["good"] for r in rows]))
 
 
@@ -88,7 +100,7 @@ def evidence(docs: DataFrame, model: tuple[np.ndarray, float, float], id_col: st
             found = [float(features((t or "").encode()) @ w) + b - prior for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(found, type=pa.float64()), batch.column(4)], names=["id", "host", "path", "evidence", "text_hash"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *[F.col(c).cast("string").alias(n) for c, n in zip(sites, ("host", "path"), strict=True)], F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *[F.col(c).cast("string").alias(n) for c, n in zip(sites, ("host", "path"), strict=True)], F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
     return own.mapInArrow(score, "id long, host string, path string, evidence double, text_hash long")
 
 
@@ -108,7 +120,8 @@ def _logit(p: Column) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", label_col: str = "quality") -> DataFrame:
-    """One row per document: id, evidence, host_mean, path_mean, quality (posterior), kept, text_hash (xxhash64).
+    """One row per document: id, evidence, host_mean, path_mean, quality (posterior), kept, text_hash and site_hash
+    (xxhash64 of the text, and of host and path), by which a row can be found again where ids are repeated or null.
 
     A null or empty text has the evidence of an empty one; null hosts and paths are sites of their own; rows that
     share an id are judged each by its text; without labels only the sites speak, and all are kept. An empty table
@@ -131,6 +144,16 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     site = F.greatest(F.lit(-SITE_LOGIT), F.least(F.lit(SITE_LOGIT), _logit(F.col("path_mean")) - float(np.log(overall / (1 - overall)))))
     quality = 1 / (1 + F.exp(-(F.col("evidence") + model[2] + site)))
     out = own.join(means, ["host", "path"]).withColumn("quality", quality)
-    return out.select(F.col("id").alias(id_col), "evidence", "host_mean", "path_mean", "quality", (F.col("quality") >= KEEP).alias("kept"), "text_hash")
+    site_hash = F.xxhash64("host", "path").alias("site_hash")
+    return out.select(F.col("id").alias(id_col), "evidence", "host_mean", "path_mean", "quality", (F.col("quality") >= KEEP).alias("kept"), "text_hash", site_hash)
+
+
+def without_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", label_col: str = "quality") -> DataFrame:
+    """docs without the rows that judge() rejects; all columns stay. Rows go by their id, text, host and path."""
+    judged = judge(docs, labels, id_col, text_col, host_col, path_col, label_col)
+    gone = stored(judged.where(~F.col("kept")).select(F.struct(F.col(id_col).alias("i"), F.col("text_hash").alias("t"), F.col("site_hash").alias("s")).alias("_key")).distinct(), "gone")
+    site = lambda c: F.coalesce(F.concat(F.lit("h"), F.col(c).cast("string")), F.lit("n"))
+    key = F.struct(F.col(id_col).cast("long").alias("i"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("t"), F.xxhash64(site(host_col), site(path_col)).alias("s"))
+    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").drop("_key")
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from farfield.llm import edit_counts, lm_score, mixing, packing
+from farfield.llm import edit_counts, lm_score, mixing, packing, quality
 from farfield.llm.blocks import make_blocks
 from farfield.llm.html_text import extract_pages, main_text
 from farfield.llm.quality import features, fit, judge
@@ -259,6 +259,60 @@ def test_quality(spark, nothing):
     assert judge(docs, labels).count() == len(rows) and judge(nothing, labels).count() == 0 and judge(docs, labels.limit(0)).count() == len(rows)
 
 
+def test_words_matter_and_held_out_labels_are_met():
+    """Texts that only their words tell apart: labels of documents that weren't seen are met at 0.98 or more."""
+    rng = random.Random(8)
+    good, bad = (["".join(rng.choice("aeioulmnrst") for _ in range(6)) for _ in range(60)] for _ in range(2))
+    texts = [" ".join(rng.choice(good if k % 2 else bad) for _ in range(80)).encode() for k in range(600)]
+    rows = np.array([features(t) for t in texts])
+    w, b, _ = fit(rows[:300], np.array([k % 2 for k in range(300)], dtype=float))
+    assert ((rows[300:] @ w + b > 0) == [k % 2 == 1 for k in range(300)]).mean() >= 0.98
+
+
+def test_posteriors_are_those_of_the_formula(spark, awkward):
+    """Sites' means, shrunk by the spread of the sites, and documents' posteriors, computed row by row from the evidence."""
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(40)], "doc_id long, quality int")
+    docs = awkward.unionByName(awkward.where("doc_id = 3").selectExpr("doc_id", "text", "'fr' AS lang", "'s9' AS source", "n_chars", "h", "part", "id"))
+    got = judge(docs, labels).collect()
+    model = quality.train(docs, labels)
+    odds = lambda e: 1 / (1 + math.exp(-(e + model[2])))
+    rows = [(r["doc_id"], r["source"], r["lang"], float(features((r["text"] or "").encode()) @ model[0]) + model[1] - model[2]) for r in docs.collect()]
+    overall = min(1 - 1e-6, max(1e-6, sum(odds(e) for *_, e in rows) / len(rows)))
+
+    def strength(sites):
+        k, n = len(sites), sum(map(len, sites.values()))
+        if k < 2:
+            return 1e3
+        between = sum(len(v) * (sum(v) / len(v) - overall) ** 2 for v in sites.values()) / n
+        noise = k * sum(p * (1 - p) for v in sites.values() for p in v) / n / n
+        return min(1e4, max(1.0, overall * (1 - overall) / max(1e-6, between - noise) - 1))
+
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for _, h, p, e in rows:
+        hosts[h].append(odds(e))
+        paths[h, p].append(odds(e))
+    a, b = strength(hosts), strength(paths)
+    host = {h: (sum(v) + a * overall) / (len(v) + a) for h, v in hosts.items()}
+    path = {k: (sum(v) + b * host[k[0]]) / (len(v) + b) for k, v in paths.items()}
+    logit = lambda p: math.log(p / (1 - p))
+    want = []
+    for i, h, p, e in rows:
+        site = max(-quality.SITE_LOGIT, min(quality.SITE_LOGIT, logit(path[h, p]) - logit(overall)))
+        q = 1 / (1 + math.exp(-(e + model[2] + site)))
+        want.append((str(i), round(e, 4), round(host[h], 6), round(path[h, p], 6), round(q, 6)))
+    assert sorted((str(r["doc_id"]), round(r["evidence"], 4), round(r["host_mean"], 6), round(r["path_mean"], 6), round(r["quality"], 6)) for r in got) == sorted(want)
+    assert all(r["kept"] == (r["quality"] >= 0.5) for r in got)
+
+
+def test_rejected_rows_go_alone(spark, monkeypatch):
+    """Of rows that agree in id and text, only that of the rejected site goes."""
+    docs = spark.createDataFrame([(1, "t", "en", "a"), (1, "t", "en", "b"), (1, "t", None, None), (2, None, "en", "a")], "doc_id long, text string, lang string, source string")
+    known = judge(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    host = F.xxhash64(F.lit("hb"), F.lit("hen"))
+    monkeypatch.setattr(quality, "judge", lambda *a: known.withColumn("kept", F.col("site_hash") != host))
+    assert sorted(map(str, quality.without_rejected(docs, docs).collect())) == sorted(map(str, docs.where("source is null or source <> 'b'").collect()))
+
+
 def test_fit_separates():
     rows = np.array([features(t) for t in (b"plain words here", b"A!! B!! C!!", b"more plain words", b"X!! Y!!")], dtype=np.float32)
     w, b, _ = fit(rows, np.array([1.0, 0, 1, 0]))
