@@ -10,11 +10,11 @@ from farfield.llm.exact_dedup import drop_copies
 from farfield.llm.minhash_dedup import near_classes
 from farfield.llm.mixing import mixed_documents
 from farfield.llm.packing import pack
-from farfield.llm.quality import judge
+from farfield.llm.quality import without_rejected
 
 
 def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """docs without the rows that `judged` doesn't keep, told by their id and text."""
+    """docs without the rows that `judged` doesn't keep, told by their id and text (which no two rows share by then)."""
     key = F.struct(F.col("doc_id").alias("i"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     gone = stored(judged.where(~F.col("kept")).select(F.struct(F.col("doc_id").alias("i"), F.col("text_hash").alias("h")).alias("_key")), "gone")
     return docs.withColumn("_key", key).join(gone, "_key", "left_anti").drop("_key")
@@ -22,7 +22,7 @@ def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    return _without(docs, judge(docs, table(spark, sf_dir, "labels")))
+    return without_rejected(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
