@@ -108,11 +108,12 @@ VIEWS = {
     "edt": f"""ra AS (SELECT DISTINCT row, col FROM touched WHERE highway IN ({TAGS_A})), rb AS (SELECT DISTINCT row, col FROM touched WHERE highway IN ({TAGS_B})),
  da AS (SELECT c.row, c.col, min((c.row-s.row)*(c.row-s.row)+(c.col-s.col)*(c.col-s.col)) AS d2 FROM cells c, ra s GROUP BY ALL),
  db AS (SELECT c.row, c.col, min((c.row-s.row)*(c.row-s.row)+(c.col-s.col)*(c.col-s.col)) AS d2 FROM cells c, rb s GROUP BY ALL)""",
-    "water_cells": "water_cells AS (SELECT DISTINCT row, col FROM cells JOIN water ON side >= 4800 AND col*1000+500 >= x AND col*1000+500 < x+side AND row*1000+500 >= y AND row*1000+500 < y+side)",
+    "water_cells": """water_rows AS (SELECT x, side, unnest(generate_series((y + 499) // 1000, (y + side + 499) // 1000 - 1)) AS row FROM water WHERE side >= 4800),
+ water_cells AS (SELECT DISTINCT row, col FROM (SELECT row, unnest(generate_series((x + 499) // 1000, (x + side + 499) // 1000 - 1)) AS col FROM water_rows) WHERE row < 200 AND col < 200)""",
     "ranked": """ranked AS (SELECT *, row_number() OVER (PARTITION BY scenario, unit_id ORDER BY dist_cm DESC, event_id) AS rank FROM points),
  kept AS (SELECT * EXCLUDE (rank), rank AS old_rank, row_number() OVER (PARTITION BY scenario, unit_id ORDER BY rank) AS rank FROM ranked WHERE NOT excluded)""",
 }
-NEEDS = {"touched": ["roads"], "edt": ["touched", "cells"], "water_cells": ["water", "cells"], "ranked": ["points"]}
+NEEDS = {"touched": ["roads"], "edt": ["touched", "cells"], "water_cells": ["water"], "ranked": ["points"]}
 
 
 def with_views(names: str, body: str, recursive: bool = False) -> str:

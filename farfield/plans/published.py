@@ -25,15 +25,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def whole(name: str, cases: dict, *changes: tuple[str, str]) -> str:
-    """The SQL of a query over some ids, made to ask for all rows."""
-    sql = cases[name][1]
-    for old, new in changes:
-        assert old in sql, old
-        sql = sql.replace(old, new)
-    return sql
-
-
 def _ranked(spark, d) -> DataFrame:
     return ranking.ranked(fx.points(spark, d))
 
@@ -126,16 +117,11 @@ def x18(spark, d):
     return both.join(top, ["unit_id", "scenario"], "left").select("code", "scenario", "top.dist_cm", "top.event_id")
 
 
-_FEW = "few AS (SELECT unit_id, count(*) AS n FROM points WHERE event_id < 30 AND scenario = 'A' GROUP BY 1)"
+_FEW = "few AS (SELECT unit_id, count(*) AS n FROM points WHERE unit_id IN (SELECT unit_id FROM units WHERE country_id <> 3) AND scenario = 'A' GROUP BY 1)"
 
 
 @query("j18_not_searched", with_views("points units", f", {_FEW} SELECT code, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'not searched' END AS reason FROM units LEFT JOIN few USING (unit_id)").replace("\n, few", ",\n few"))
 def j18(spark, d):
-    return _not_searched(spark, d, fx.points(spark, d).where("event_id < 30"))
-
-
-@query("j18_not_searched_all", whole("j18_not_searched", CASES, ("event_id < 30", "unit_id IN (SELECT unit_id FROM units WHERE country_id <> 3)")))
-def j18_all(spark, d):
     """The search went over the units of the wanted countries."""
     wanted = fx.units(spark, d).where("country_id <> 3").select("unit_id")
     return _not_searched(spark, d, fx.points(spark, d).join(wanted, "unit_id", "left_semi"))
@@ -213,13 +199,8 @@ def x41(spark, d):
 
 
 @query("j17_references", with_views("ranked", """SELECT r.event_id, r.unit_id, coalesce(abs(k.dist_cm - r.dist_cm) * 100 <= r.dist_cm AND (k.x - r.x) * (k.x - r.x) + (k.y - r.y) * (k.y - r.y) <= 250000, false) AS passed
- FROM (SELECT * FROM points WHERE event_id < 50 AND scenario = 'A' AND dist_cm > 0) r LEFT JOIN (SELECT * FROM kept WHERE rank = 1 AND scenario = 'A' AND unit_id <> 7) k ON k.unit_id = r.unit_id"""))
+ FROM (SELECT * FROM points WHERE scenario = 'A' AND dist_cm > 0) r LEFT JOIN (SELECT * FROM kept WHERE rank = 1 AND scenario = 'A' AND unit_id <> 7) k ON k.unit_id = r.unit_id"""))
 def j17(spark, d):
-    return _references(spark, d, fx.points(spark, d).where("event_id < 50"))
-
-
-@query("j17_references_all", whole("j17_references", CASES, ("event_id < 50 AND ", "")))
-def j17_all(spark, d):
     return _references(spark, d, fx.points(spark, d))
 
 
@@ -232,13 +213,8 @@ def _references(spark, d, points) -> DataFrame:
 
 
 @query("j20_unit_at", with_views("points units", """SELECT event_id, code FROM (SELECT p.event_id, u.code, row_number() OVER (PARTITION BY p.event_id ORDER BY CASE WHEN u.country_id = p.event_id % 5 THEN 0 ELSE 1 END, u.area, u.code) AS k
- FROM (SELECT * FROM points WHERE event_id % 10 = 3) p JOIN (SELECT *, (unit_id % 7 + 1) * 9000 AS w, CAST((unit_id % 7 + 1) * 9000 AS BIGINT) * 50000 AS area FROM units) u ON p.x >= u.x0 AND p.x <= u.x0 + 40000 + u.w AND p.y >= u.y0 AND p.y <= u.y0 + 50000) WHERE k = 1"""))
+ FROM (SELECT * FROM points) p JOIN (SELECT *, (unit_id % 7 + 1) * 9000 AS w, CAST((unit_id % 7 + 1) * 9000 AS BIGINT) * 50000 AS area FROM units) u ON p.x >= u.x0 AND p.x <= u.x0 + 40000 + u.w AND p.y >= u.y0 AND p.y <= u.y0 + 50000) WHERE k = 1"""))
 def j20(spark, d):
-    return _unit_at(spark, d, fx.points(spark, d).where("event_id % 10 = 3"))
-
-
-@query("j20_unit_at_all", whole("j20_unit_at", CASES, (" WHERE event_id % 10 = 3", "")))
-def j20_all(spark, d):
     return _unit_at(spark, d, fx.points(spark, d))
 
 
@@ -254,14 +230,9 @@ def _unit_at(spark, d, points) -> DataFrame:
 
 
 @query("j21_opening_unit", with_views("ranked units", """, reg AS (SELECT unit_id, dense_rank() OVER (ORDER BY dist_cm DESC) AS r FROM kept WHERE rank = 1 AND scenario = 'A')
- SELECT v.event_id, coalesce(p.code, o.code, (SELECT code FROM reg JOIN units USING (unit_id) ORDER BY r, code LIMIT 1)) AS code FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN unit_id END AS asked, CASE WHEN event_id % 3 = 1 THEN unit_id END AS visitor FROM points WHERE event_id < 300) v
+ SELECT v.event_id, coalesce(p.code, o.code, (SELECT code FROM reg JOIN units USING (unit_id) ORDER BY r, code LIMIT 1)) AS code FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN unit_id END AS asked, CASE WHEN event_id % 3 = 1 THEN unit_id END AS visitor FROM points) v
  LEFT JOIN units p ON p.unit_id = v.asked LEFT JOIN units o ON o.unit_id = v.visitor""").replace("\n, reg", ",\n reg"))
 def j21(spark, d):
-    return _opening_unit(spark, d, fx.points(spark, d).where("event_id < 300"))
-
-
-@query("j21_opening_unit_all", whole("j21_opening_unit", CASES, (" WHERE event_id < 300", "")))
-def j21_all(spark, d):
     return _opening_unit(spark, d, fx.points(spark, d))
 
 
@@ -274,17 +245,12 @@ def _opening_unit(spark, d, points) -> DataFrame:
     return rows.crossJoin(F.broadcast(ranks)).select("event_id", F.coalesce("p", "o", "winner").alias("code"))
 
 
-_SPANS = "spans AS (SELECT unit_id, lon_e4 AS w, lon_e4 + event_id % 40000 AS e FROM points WHERE event_id < 2000)"
+_SPANS = "spans AS (SELECT unit_id, lon_e4 AS w, lon_e4 + event_id % 40000 AS e FROM points)"
 
 
 @query("w09_span_merge", with_views("points", f""", {_SPANS}, marked AS (SELECT *, CASE WHEN w <= max(e) OVER (PARTITION BY unit_id ORDER BY w, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM spans),
  grouped AS (SELECT *, sum(n) OVER (PARTITION BY unit_id ORDER BY w, e ROWS UNBOUNDED PRECEDING) AS g FROM marked) SELECT unit_id, min(w) AS west, max(e) AS east FROM grouped GROUP BY unit_id, g""").replace("\n, spans", ",\n spans"))
 def w09(spark, d):
-    return _merged(fx.points(spark, d).where("event_id < 2000"))
-
-
-@query("w09_span_merge_all", whole("w09_span_merge", CASES, (" WHERE event_id < 2000", "")))
-def w09_all(spark, d):
     return _merged(fx.points(spark, d))
 
 
@@ -299,15 +265,10 @@ def g17(spark, d):
     return lon.wrapped_spans(lon.merged_spans(spans, ["id"]), ["id"], turn=360)
 
 
-@query("w11_ring_unwrap", with_views("points", """, steps AS (SELECT event_id, unit_id, lon_e4, CASE WHEN lon_e4 - lag(lon_e4) OVER o > 1800000 THEN -3600000 WHEN lon_e4 - lag(lon_e4) OVER o < -1800000 THEN 3600000 ELSE 0 END AS jump FROM points WHERE event_id < 3000 WINDOW o AS (PARTITION BY unit_id ORDER BY event_id)),
+@query("w11_ring_unwrap", with_views("points", """, steps AS (SELECT event_id, unit_id, lon_e4, CASE WHEN lon_e4 - lag(lon_e4) OVER o > 1800000 THEN -3600000 WHEN lon_e4 - lag(lon_e4) OVER o < -1800000 THEN 3600000 ELSE 0 END AS jump FROM points WINDOW o AS (PARTITION BY unit_id ORDER BY event_id)),
  run AS (SELECT event_id, unit_id, lon_e4 + sum(jump) OVER (PARTITION BY unit_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS lon_e4 FROM steps)
  SELECT event_id, unit_id, CAST(lon_e4 + CASE WHEN min(lon_e4) OVER (PARTITION BY unit_id) < -1800000 THEN 3600000 ELSE 0 END AS BIGINT) AS lon_e4 FROM run""").replace("\n, steps", ",\n steps"))
 def w11(spark, d):
-    return _unwrapped(fx.points(spark, d).where("event_id < 3000"))
-
-
-@query("w11_ring_unwrap_all", whole("w11_ring_unwrap", CASES, (" WHERE event_id < 3000", "")))
-def w11_all(spark, d):
     return _unwrapped(fx.points(spark, d))
 
 
@@ -371,17 +332,8 @@ def k11(spark, d):
     return ranking.merged_documents(old, new, "unit_id")
 
 
-@query("k12_upload_plan", with_views("points", "SELECT key, size FROM (SELECT event_id || '.json' AS key, dist_cm AS size FROM points WHERE event_id < 500) l WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_id || '.json' AS key, dist_cm + event_id % 2 AS size FROM points WHERE event_id < 400) r WHERE r.key = l.key AND r.size = l.size)"))
+@query("k12_upload_plan", with_views("points", "SELECT key, size FROM (SELECT event_id || '.json' AS key, dist_cm AS size FROM points) l WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_id || '.json' AS key, dist_cm + event_id % 2 AS size FROM points WHERE NOT excluded) r WHERE r.key = l.key AND r.size = l.size)"))
 def k12(spark, d):
-    key = F.concat(c("event_id").cast("string"), F.lit(".json")).alias("key")
-    rows = fx.points(spark, d)
-    local = rows.where("event_id < 500").select(key, c("dist_cm").alias("size"))
-    remote = rows.where("event_id < 400").select(key, (c("dist_cm") + c("event_id") % 2).alias("size"))
-    return sinks.upload_plan(local, remote).select("key", "size")
-
-
-@query("k12_upload_plan_all", whole("k12_upload_plan", CASES, (" WHERE event_id < 500", ""), ("event_id < 400", "NOT excluded")))
-def k12_all(spark, d):
     """The other side lacks the excluded points and has some in another size."""
     key = F.concat(c("event_id").cast("string"), F.lit(".json")).alias("key")
     rows = fx.points(spark, d)
@@ -389,15 +341,8 @@ def k12_all(spark, d):
     return sinks.upload_plan(rows.select(key, c("dist_cm").alias("size")), remote).select("key", "size")
 
 
-@query("k15_orphans", with_views("points", "SELECT 'r/s/detail/' || event_id || '.png' AS key FROM points WHERE event_id < 300 AND event_id % 3 <> 0"))
+@query("k15_orphans", with_views("points", "SELECT 'r/s/detail/' || event_id || '.png' AS key FROM points WHERE coalesce(excluded, true)"))
 def k15(spark, d):
-    ids = fx.points(spark, d).where("event_id < 300").select(c("event_id").cast("string").alias("id"), c("event_id"))
-    listed = ids.select(F.concat(F.lit("r/s/detail/"), c("id"), F.lit(".png")).alias("key"))
-    return sinks.orphans(listed, ids.where("event_id % 3 = 0").select(F.concat(F.lit("r/s/detail/"), c("id")).alias("stem")))
-
-
-@query("k15_orphans_all", whole("k15_orphans", CASES, ("event_id < 300 AND event_id % 3 <> 0", "coalesce(excluded, true)")))
-def k15_all(spark, d):
     """Nothing refers to the excluded points' files."""
     stem = F.concat(F.lit("r/s/detail/"), c("event_id").cast("string"))
     rows = fx.points(spark, d)

@@ -197,15 +197,9 @@ def j04(spark, d):
 
 
 @query("j06_nearest_place", with_views("points places", """SELECT event_id, place_id, d2 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d2, place_id) AS n FROM
- (SELECT event_id, place_id, (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) AS d2 FROM (SELECT * FROM points WHERE excluded) p, places q)) WHERE n = 1"""))
+ (SELECT event_id, place_id, (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) AS d2 FROM points p, places q)) WHERE n = 1"""))
 def j06(spark, d):
-    """The nearest place of withheld points."""
-    return _nearest_places(spark, d, fx.points(spark, d).where("excluded"))
-
-
-@query("j06_nearest_place_all")
-def j06_all(spark, d):
-    """The nearest place of every point; SQL would need the product of points and places."""
+    """The nearest place of every point."""
     return _nearest_places(spark, d, fx.points(spark, d))
 
 
