@@ -308,11 +308,6 @@ def v07a(spark, d):
     return _invariants(spark, d)
 
 
-@query("v09_structure", with_views("ranked", "SELECT scenario, unit_id, true AS passed FROM kept GROUP BY ALL"))
-def v09(spark, d):
-    return checks.structure(_kept(spark, d), ["scenario", "unit_id"])
-
-
 @query("a16_check_summary", with_views("ranked units", _INV + "SELECT name AS check, count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed) AS failed, count(*) FILTER (WHERE NOT passed AND name = 'a_le_b') AS blocking, count(*) FILTER (WHERE NOT passed AND name <> 'a_le_b') AS warnings FROM res GROUP BY ROLLUP (name)").replace("\n, a AS", ",\n a AS"))
 def a16(spark, d):
     rows = _invariants(spark, d).withColumnRenamed("name", "check").withColumn("blocking", c("check") == "a_le_b")

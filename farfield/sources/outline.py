@@ -15,10 +15,14 @@ def read_outline(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_outline(lines: DataFrame) -> DataFrame:
     """lines: n (0 is the name), line."""
-    rows = lines.where("n > 0 and line <> ''").withColumn("point", F.col("line").rlike(r"^[-+0-9.eE]+\s+[-+0-9.eE]+$"))
-    order = Window.orderBy("n")  # one outline has some hundred lines
-    rows = rows.withColumn("ring", F.sum(F.when(~F.col("point") & (F.col("line") != "END"), 1).otherwise(0)).over(order))
-    rows = rows.withColumn("hole", F.max(F.when(~F.col("point"), F.col("line").startswith("!"))).over(Window.partitionBy("ring")))
+    return parse_outlines(lines.withColumn("_file", F.lit(0)), ["_file"]).drop("_file")
+
+
+def parse_outlines(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """The same of many outlines, told apart by keys (an outline has some hundred lines)."""
+    rows = lines.where("n > 0 and trim(line) <> ''").withColumn("line", F.trim("line")).withColumn("point", F.col("line").rlike(r"^[-+0-9.eE]+\s+[-+0-9.eE]+$"))
+    rows = rows.withColumn("ring", F.sum(F.when(~F.col("point") & (F.col("line") != "END"), 1).otherwise(0)).over(Window.partitionBy(*keys).orderBy("n")))
+    rows = rows.withColumn("hole", F.max(F.when(~F.col("point"), F.col("line").startswith("!"))).over(Window.partitionBy(*keys, "ring")))
     parts = F.split("line", r"\s+")
-    points = rows.where("point").select("ring", "hole", "n", F.get(parts, F.lit(0)).cast("double").alias("x"), F.get(parts, F.lit(1)).cast("double").alias("y"))
-    return points.withColumn("seq", F.row_number().over(Window.partitionBy("ring").orderBy("n")) - 1).drop("n")
+    points = rows.where("point").select(*keys, "ring", "hole", "n", F.get(parts, F.lit(0)).cast("double").alias("x"), F.get(parts, F.lit(1)).cast("double").alias("y"))
+    return points.withColumn("seq", F.row_number().over(Window.partitionBy(*keys, "ring").orderBy("n")) - 1).drop("n")
