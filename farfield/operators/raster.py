@@ -80,15 +80,23 @@ def ring_offsets(spark: SparkSession, r_in: float, r_out: float) -> DataFrame:
 
 
 def ring_density(centres: DataFrame, marked: DataFrame, keys: list[str], r_in: float, r_out: float, height: int, width: int) -> DataFrame:
-    """Share of marked cells in the ring around each centre, clipped to the frame: keys, n, hits. The ring's offsets
-    are a constant of the query, so they are spread as an array."""
-    r = int(np.ceil(r_out))
-    ring = [(a, b) for a in range(-r, r + 1) for b in range(-r, r + 1) if r_in * r_in < a * a + b * b <= r_out * r_out]
-    offsets = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ring])
-    near = centres.withColumn("_o", F.explode(offsets)).withColumn("_r", F.col("row") + F.col("_o.dr")).withColumn("_c", F.col("col") + F.col("_o.dc"))
-    near = near.where((F.col("_r") >= 0) & (F.col("_r") < height) & (F.col("_c") >= 0) & (F.col("_c") < width)).select(*keys, "_r", "_c")
-    on = marked.select(F.col("row").alias("_r"), F.col("col").alias("_c")).distinct().withColumn("_on", F.lit(1))
-    return near.join(on, ["_r", "_c"], "left").groupBy(*keys).agg(F.count("*").alias("n"), F.count("_on").alias("hits"))
+    """Marked cells further than r_in (below 0: the centre counts, too) and up to r_out from each centre (row, col),
+    clipped to the frame: keys, n, hits. A ring is a chord or two in each row, and a chord's count the difference of two
+    running sums along the row."""
+    on = marked.select("row", "col").distinct().withColumn("_on", F.lit(1))
+    along = Window.partitionBy("row").orderBy("col").rowsBetween(Window.unboundedPreceding, 0)
+    sums = frame(centres.sparkSession, height, width).join(on, ["row", "col"], "left").select(F.col("row").alias("_r"), F.col("col").alias("_c"), F.sum(F.coalesce("_on", F.lit(0))).over(along).alias("_sum"))
+    reach = int(np.floor(r_out))
+    half = lambda r: F.floor(F.sqrt(F.lit(float(r * r)) - F.col("_a") * F.col("_a")))
+    rows = centres.withColumn("_a", F.explode(F.sequence(F.lit(-reach), F.lit(reach)))).withColumn("_r", F.col("row") + F.col("_a")).where((F.col("_r") >= 0) & (F.col("_r") < height))
+    chord = lambda w, sign: F.struct(F.greatest(F.lit(0), F.col("col") - w).alias("lo"), F.least(F.lit(width - 1), F.col("col") + w).alias("hi"), F.lit(sign).alias("sign"))
+    hole = F.when(F.abs(F.col("_a")) <= r_in, chord(half(r_in), -1)) if r_in >= 0 else F.lit(None)
+    chords = F.array_compact(F.array(chord(half(r_out), 1), hole)) if r_in >= 0 else F.array(chord(half(r_out), 1))
+    ends = rows.withColumn("_k", F.explode(chords)).where("_k.lo <= _k.hi")
+    ends = ends.withColumn("_e", F.explode(F.array(F.struct(F.col("_k.hi").alias("at"), F.col("_k.sign").alias("sign"), (F.col("_k.sign") * (F.col("_k.hi") - F.col("_k.lo") + 1)).alias("n")), F.struct((F.col("_k.lo") - 1).alias("at"), (-F.col("_k.sign")).alias("sign"), F.lit(0).alias("n")))))
+    ends = ends.select(*keys, "_r", F.col("_e.at").alias("_c"), F.col("_e.sign").alias("_s"), F.col("_e.n").alias("_n"))
+    found = ends.join(sums, ["_r", "_c"], "left").groupBy(*keys)
+    return found.agg(F.sum("_n").alias("n"), F.sum(F.col("_s") * F.coalesce("_sum", F.lit(0))).alias("hits"))
 
 
 def by_block(cells: DataFrame, size: int, f: Callable, schema: str) -> DataFrame:

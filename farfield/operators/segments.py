@@ -50,6 +50,18 @@ def segment_distance(px: Column, py: Column) -> Column:
     return F.sqrt(ex * ex + ey * ey)
 
 
+def within_bound(points: DataFrame, segments: DataFrame, bucket: int, keys: list[str], bound: str = "bound") -> DataFrame:
+    """keys and the segments' columns: pairs that share a bucket which the point's bound reaches, each once.
+
+    Segments are dealt to the buckets that they touch, points to those within their bound, so that the join is on
+    equal buckets and no distance far beyond the bound is computed.
+    """
+    dealt = supercover(segments, bucket, "_row", "_col")
+    reach = lambda v: F.sequence(F.floor((F.col(v) - F.col(bound)) / bucket), F.floor((F.col(v) + F.col(bound)) / bucket))
+    asked = points.withColumn("_col", F.explode(reach("px"))).withColumn("_row", F.explode(reach("py")))
+    return asked.join(dealt, ["_row", "_col"]).select(*keys, *segments.columns).distinct()
+
+
 def nearest_segment(points: DataFrame, segments: DataFrame, bucket: int, keys: list[str], bound: str = "bound", way: str = "way_id") -> DataFrame:
     """keys, way, dist of each point's nearest segment; of equals the least way.
 

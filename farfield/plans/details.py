@@ -242,15 +242,6 @@ def s25(spark, d):
     return cells.select(F.floor(c("row") / 64).alias("br"), F.floor(c("col") / 64).alias("bc")).where("br = 1").groupBy("br", "bc").agg(F.count("*").alias("cells"))
 
 
-@query("a21_vertex_distance", with_views("roads units", "SELECT unit_id, min(least((x1-cx)*(x1-cx)+(y1-cy)*(y1-cy), (x2-cx)*(x2-cx)+(y2-cy)*(y2-cy))) AS d2 FROM roads, (SELECT unit_id, x0 + 20000 AS cx, y0 + 20000 AS cy FROM units) GROUP BY unit_id"))
-def a21(spark, d):
-    """The nearest road vertex to each unit's centre. Units are a list of bounded length, so they are spread as an array."""
-    heads = fx.units(spark, d).agg(F.collect_list(F.struct("unit_id", (c("x0") + 20000).alias("cx"), (c("y0") + 20000).alias("cy"))).alias("u"))
-    rows = fx.roads(spark, d).crossJoin(F.broadcast(heads)).withColumn("u", F.explode("u"))
-    to = lambda x, y: (c(x) - c("u.cx")) * (c(x) - c("u.cx")) + (c(y) - c("u.cy")) * (c(y) - c("u.cy"))
-    return rows.groupBy("u.unit_id").agg(F.min(F.least(to("x1", "y1"), to("x2", "y2"))).alias("d2"))
-
-
 @query("p13_interior_water", with_views("water_cells", "SELECT w.row, w.col FROM water_cells w JOIN water_cells v ON abs(w.row - v.row) <= 1 AND abs(w.col - v.col) <= 1 GROUP BY w.row, w.col HAVING count(*) = 9"))
 def p13(spark, d):
     """Water cells that no shore touches: all their neighbours are water."""

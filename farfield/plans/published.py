@@ -277,17 +277,6 @@ def _unwrapped(points) -> DataFrame:
     return lon.unwrapped_rings(rows, ["unit_id"], "event_id", "lon_e4", 3600000)
 
 
-@query("v04_grid_shift", with_views("ranked", """SELECT a.unit_id, CASE WHEN b.dist_cm IS NULL THEN false WHEN NOT ok THEN false ELSE NOT far END AS passed, CASE WHEN b.dist_cm IS NULL THEN true ELSE NOT (ok AND far) END AS blocking
- FROM (SELECT * FROM kept WHERE rank = 1 AND scenario = 'A') a LEFT JOIN (SELECT * FROM kept WHERE rank = 2 AND scenario = 'A' AND unit_id <> 3) b USING (unit_id),
- LATERAL (SELECT abs(b.dist_cm - a.dist_cm) * 100 <= a.dist_cm OR abs(b.dist_cm - a.dist_cm) <= 1000 AS ok, 100 * (abs(a.x - b.x) + abs(a.y - b.y)) > 50000 AS far)"""))
-def v04(spark, d):
-    rows = _kept(spark, d).where("scenario = 'A'")
-    other = rows.where("rank = 2 AND unit_id <> 3").select("unit_id", c("dist_cm").alias("shifted"), c("x").alias("sx"), c("y").alias("sy"))
-    both = rows.where("rank = 1").join(other, "unit_id", "left")
-    passed, blocking = checks.grid_shift(c("dist_cm"), c("shifted"), 100 * (F.abs(c("x") - c("sx")) + F.abs(c("y") - c("sy"))), 100)
-    return both.select("unit_id", passed.alias("passed"), blocking.alias("blocking"))
-
-
 _INV = """, a AS (SELECT * FROM kept WHERE rank = 1 AND scenario = 'A'), b AS (SELECT * FROM kept WHERE rank = 1 AND scenario = 'B'),
  res AS (SELECT 'a_le_b' AS name, u.unit_id, '*' AS scenario, coalesce(a.dist_cm <= b.dist_cm + 1, true) AS passed FROM units u LEFT JOIN a ON a.unit_id = u.unit_id LEFT JOIN b ON b.unit_id = u.unit_id
  UNION ALL SELECT 'mainland', u.unit_id, s.scenario, count(k.event_id) >= 150 FROM units u CROSS JOIN (VALUES ('A'), ('B')) s(scenario) LEFT JOIN (SELECT * FROM kept WHERE island IS NULL) k ON k.unit_id = u.unit_id AND k.scenario = s.scenario GROUP BY ALL)

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("scalars", "spatial", "published", "details", "records")
+MODULES = ("scalars", "spatial", "published", "details", "records", "verified")
 
 
 def _cases() -> dict[str, tuple]:

@@ -9,6 +9,7 @@ from farfield.functions.crs import half_diagonal
 from farfield.functions.geodesy import geodesic_m, planar_degrees2
 from farfield.functions.tags import in_scenario
 from farfield.operators import components, polygons, pyramid, raster, rings, search, segments
+from farfield.operators.components import checkpointed
 from farfield.plans import fixtures as fx
 from farfield.plans.fixtures import CELLS, RES, TAGS_A, TAGS_B, with_views
 from farfield.plans.scalars import _literals
@@ -204,23 +205,29 @@ def j06(spark, d):
 
 
 def _nearest_places(spark, d, points):
-    """Places and points meet in buckets, which grow until one is near enough."""
+    """event_id, place_id, d2."""
     wanted = points.select("event_id", c("x").alias("px"), c("y").alias("py"))
-    towns = fx.places(spark, d).select("place_id", "x", "y")
+    return nearest_points(wanted, fx.places(spark, d).select("place_id", "x", "y"), "event_id", fx.SIDE)
+
+
+def nearest_points(wanted: DataFrame, towns: DataFrame, key: str, side: int) -> DataFrame:
+    """key, place_id, d2 of the town nearest to each wanted point (px, py) of a plane that is `side` wide; of equals the
+    lowest id. Both meet in buckets, which grow until one is near enough."""
     size, out = 5000, None
-    while size <= 8 * fx.SIDE:
+    while True:
         around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
         asked = wanted.withColumn("_o", F.explode(around)).withColumn("bx", F.floor(c("px") / size) + c("_o.a")).withColumn("by", F.floor(c("py") / size) + c("_o.b"))
         near = asked.join(towns.withColumn("bx", F.floor(c("x") / size)).withColumn("by", F.floor(c("y") / size)), ["bx", "by"])
         dx, dy = c("px") - c("x"), c("py") - c("y")
-        best = near.withColumn("d2", dx * dx + dy * dy).groupBy("event_id").agg(F.min(F.struct("d2", "place_id")).alias("b")).select("event_id", "b.place_id", "b.d2")
-        sure = best.where(c("d2") <= size * size)
+        best = near.withColumn("d2", dx * dx + dy * dy).groupBy(key).agg(F.min(F.struct("d2", "place_id")).alias("b")).select(key, "b.place_id", "b.d2")
+        if size >= 2 * side:
+            return best if out is None else out.unionByName(best)
+        sure = checkpointed(best.where(c("d2") <= size * size))
         out = sure if out is None else out.unionByName(sure)
-        wanted = wanted.join(sure.select("event_id"), "event_id", "left_anti")
-        if size >= fx.SIDE or not wanted.take(1):
+        wanted = wanted.join(sure.select(key), key, "left_anti")
+        if not wanted.take(1):
             return out
         size *= 4
-    return out
 
 
 @query("t05_shortlist")
@@ -284,12 +291,6 @@ def a13(spark, d):
     return dens.groupBy((c("id") % 5).alias("grp")).agg(F.floor(F.median("ppm")).alias("median_ppm"))
 
 
-@query("v05_holes", CASES["a12_ring_density"][1].replace("SELECT id, count(*) AS n", ", dens AS (SELECT s.id, count(*) AS n").replace("GROUP BY id", "GROUP BY s.id) SELECT id, NOT (hits = 0) AS passed, false AS blocking FROM dens"))
-def v05(spark, d):
-    """A ring without any road around a point is a warning: the data may have a hole there."""
-    return a12(spark, d).select("id", (c("hits") != 0).alias("passed"), F.lit(False).alias("blocking"))
-
-
 _PIX = "pix AS (SELECT row AS y, col AS x, least(253, CASE WHEN m < 2500 THEN m // 50 WHEN m < 10000 THEN 50 + (m - 2500) // 100 WHEN m < 30000 THEN 125 + (m - 10000) // 250 WHEN m < 60000 THEN 205 + (m - 30000) // 1000 ELSE 235 + (m - 60000) // 10000 END) AS cls FROM (SELECT row, col, CAST(floor(sqrt(CAST(d2 AS DOUBLE)) * 1000) AS BIGINT) AS m FROM da ANTI JOIN water_cells USING (row, col)))"
 
 
@@ -371,12 +372,14 @@ def lattice_of(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_o", offsets).select("*", c("_o.k").alias("k"), (c("cell") % CELLS * RES + RES // 2 + c("_o.b")).alias("px"), (F.floor(c("cell") / CELLS) * RES + RES // 2 + c("_o.a")).alias("py")).drop("_o")
 
 
-def refine_cells(spark, d, scenario: str):
-    """The function that finds each cell's farthest allowed lattice point, in whole millimetres from the exact nearest road."""
+def refine_cells(spark, d, scenario: str, shift: int = 0):
+    """The function that finds each cell's farthest allowed lattice point, in whole millimetres from the exact nearest
+    road. shift: how far the cells' frame lies to the lower left."""
     ways = fx.roads(spark, d).where(in_scenario(c("highway"), scenario))
 
     def refine(cells: DataFrame) -> DataFrame:
-        points = allowed_points(spark, d, lattice_of(cells).withColumn("bound", F.ceil(c("upper") / 1000) + 1), ["unit_id", "cell", "k"])
+        lattice = lattice_of(cells).withColumn("px", c("px") - shift).withColumn("py", c("py") - shift)
+        points = allowed_points(spark, d, lattice.withColumn("bound", F.ceil(c("upper") / 1000) + 1), ["unit_id", "cell", "k"])
         near = segments.nearest_segment(points, ways, 5000, ["unit_id", "cell", "k", "px", "py"]).withColumn("mm", F.floor(c("dist") * 1000))
         best = near.groupBy("unit_id", "cell").agg(F.max_by(F.struct("px", "py", "mm"), F.struct("mm", -c("k"))).alias("b"))
         return best.select("unit_id", "cell", c("b.px").alias("x"), c("b.py").alias("y"), c("b.mm").alias("dist"))
@@ -478,33 +481,6 @@ def c08(spark, d):
     return raster.frame(spark, CELLS, CELLS).where(edge < 5)
 
 
-@query("v03_edge_bound", with_views("points", "SELECT event_id, 100 * least(x, 200000 - x, y, 200000 - y) > dist_cm AS passed, false AS blocking FROM points"))
-def v03(spark, d):
-    edge = F.least(c("x"), fx.SIDE - c("x"), c("y"), fx.SIDE - c("y"))
-    return fx.points(spark, d).select("event_id", (100 * edge > c("dist_cm")).alias("passed"), F.lit(False).alias("blocking"))
-
-
-@query("v02_membership", with_views("points water", "SELECT event_id, count(w.water_id) = 0 AS passed, true AS blocking FROM points p LEFT JOIN (SELECT * FROM water WHERE side >= 4800) w ON p.x >= w.x AND p.x < w.x + w.side AND p.y >= w.y AND p.y < w.y + w.side GROUP BY event_id"))
-def v02(spark, d):
-    edges = polygons.ring_edges(fx.water_corners(spark, d).join(fx.water(spark, d).where("side >= 4800").select("water_id"), "water_id", "left_semi"), ["water_id"])
-    points = fx.points(spark, d).select("event_id", c("x").alias("px"), c("y").alias("py"))
-    wet = polygons.points_in_polygons(points, edges, ["event_id"], ["water_id"], 10000).select("event_id").distinct().withColumn("_w", F.lit(1))
-    return points.select("event_id").join(wet, "event_id", "left").select("event_id", c("_w").isNull().alias("passed"), F.lit(True).alias("blocking"))
-
-
-@query("v01_recheck")
-def v01(spark, d):
-    """The nearest road of places again, over densified ways: within half a percent of the exact distance."""
-    exact = j01(spark, d)
-    points = fx.places(spark, d).select("place_id", c("x").alias("px0"), c("y").alias("py0"))
-    ways = segments.densified(fx.roads(spark, d).where(in_scenario(c("highway"), "B")), 50.0).select("px", "py")
-    near = exact.join(points, "place_id").withColumn("reach", F.ceil(c("dist_mm") / 1000 * 2) + 100)
-    asked = near.withColumn("bx", F.explode(F.sequence(F.floor((c("px0") - c("reach")) / 5000), F.floor((c("px0") + c("reach")) / 5000)))).withColumn("by", F.explode(F.sequence(F.floor((c("py0") - c("reach")) / 5000), F.floor((c("py0") + c("reach")) / 5000))))
-    met = asked.join(ways.withColumn("bx", F.floor(c("px") / 5000)).withColumn("by", F.floor(c("py") / 5000)), ["bx", "by"])
-    measured = met.groupBy("place_id", "dist_mm").agg(F.min(F.hypot(c("px") - c("px0"), c("py") - c("py0"))).alias("m"))
-    return measured.select("place_id", ((F.abs(c("m") * 1000 - c("dist_mm")) <= 0.005 * c("dist_mm")) | (c("m") - c("dist_mm") / 1000 <= 25)).alias("passed"), F.lit(True).alias("blocking"))
-
-
 @query("j11_member_completeness", "SELECT area_id, CAST(members AS BIGINT) AS members, CAST(missing AS BIGINT) AS missing, complete FROM (VALUES (1, 2, 0, true), (2, 2, 1, false)) t(area_id, members, missing, complete)")
 def j11(spark, d):
     members = _literals(spark, "area_id, way_id", [(1, 10), (1, 11), (2, 12), (2, 99)])
