@@ -68,7 +68,7 @@ def targets(sized: DataFrame, share: float = SHARE, most: float = MOST, weights:
 
 
 def sized_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(source_col).isNull().alias("s_null"), F.coalesce(source_col, F.lit("")).alias("s"), n_words(F.col(text_col)).alias("size"))
+    return docs.select(F.col(id_col).alias("id"), F.col(source_col).isNull().alias("s_null"), F.coalesce(source_col, F.lit("")).alias("s"), n_words(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("th"))
 
 
 class Mix:
@@ -115,7 +115,7 @@ class Mix:
         """The sized documents with the place of their first word in their source's stream, and the source's figures."""
         parts = max(1, -(-self.rows // PART_ROWS))
         rows = self.sized.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
-        inner = Window.partitionBy(*KEY, "part").orderBy("id", "size")
+        inner = Window.partitionBy(*KEY, "part").orderBy("id", "size", "th")
         rows = rows.withColumn("start", F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
         sums = self.sized.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).groupBy(*KEY, "part").agg(F.sum("size").alias("held"))
         sums = sums.withColumn("base", F.sum("held").over(Window.partitionBy(*KEY).orderBy("part")) - F.col("held")).drop("held")
@@ -157,17 +157,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mix = Mix(docs, id_col, text_col, source_col, **options)
     placed = mix.placed()
     some = F.when(F.col("some") > 0, F.struct("lo", (F.col("lo") + F.col("some")).alias("hi")))
-    found = mix.pieces(placed).groupBy(*KEY, "start", "id", "size", "rounds").agg(F.array_sort(F.collect_list(some)).alias("runs"))
-    # rows that share id, source and size are numbered alike on both sides
-    nth = Window.partitionBy("id", *KEY, "size").orderBy("start")
-    found = found.withColumn("_nth", F.row_number().over(nth)).select(F.struct("id", *KEY, "size", "_nth").alias("_key"), "runs", "rounds").where("rounds > 0 or size(runs) > 0")
-    own = docs.withColumn("_id", F.struct(F.col(id_col).alias("id"), F.col(source_col).isNull().alias("s_null"), F.coalesce(source_col, F.lit("")).alias("s"), n_words(F.col(text_col)).alias("size")))
-    own = own.withColumn("_nth", F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col))))
-    own = own.withColumn("_key", F.struct("_id.id", "_id.s_null", "_id.s", "_id.size", "_nth")).drop("_id", "_nth")
-    rows = own.join(found, "_key")
+    found = mix.pieces(placed).groupBy(*KEY, "start", "id", "th", "rounds").agg(F.array_sort(F.collect_list(some)).alias("runs")).where("rounds > 0 or size(runs) > 0")
+    # rows that agree in id, source and text take one entry each, in the order of their places
+    found = found.groupBy(F.struct("id", *KEY, "th").alias("_key")).agg(F.array_sort(F.collect_list(F.struct("start", "rounds", "runs"))).alias("_each"))
+    own = docs.withColumn("_key", F.struct(F.col(id_col).alias("id"), F.col(source_col).isNull().alias("s_null"), F.coalesce(source_col, F.lit("")).alias("s"), F.xxhash64(text_col).alias("th")))
+    own = own.where(F.col(text_col).isNotNull()).withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))))
+    rows = own.join(found, "_key").withColumn("_one", F.get("_each", F.col("_nth") - 1)).where("_one IS NOT NULL")
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(words, r["lo"].cast("int") + 1, (r["hi"] - r["lo"]).cast("int")))), "")
-    texts = F.concat(F.array_repeat(F.col(text_col), F.col("rounds").cast("int")), F.when(F.size("runs") > 0, F.array(cut)).otherwise(F.array().cast("array<string>")))
+    # bound to a variable, so that a text is taken apart once, not once for each of its runs
+    parted = F.transform(F.array(F.struct(words.alias("w"), F.col("_one.runs").alias("r"))), lambda x: F.array_join(F.flatten(F.transform(x["r"], lambda r: F.slice(x["w"], r["lo"].cast("int") + 1, (r["hi"] - r["lo"]).cast("int")))), ""))
+    cut = F.when(F.size("_one.runs") > 0, parted).otherwise(F.array().cast("array<string>"))
+    texts = F.concat(F.array_repeat(F.col(text_col), F.col("_one.rounds").cast("int")), cut)
     rows = rows.withColumn("_text", F.explode(texts)).withColumn(text_col, F.col("_text"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length(text_col).cast("long"))
