@@ -90,7 +90,10 @@ class Mix:
         found = targets(self.sized, share, most, weights)
         found = found.withColumn("blocks", F.ceil(size / block)).withColumn("rounds", F.when(size > 0, F.floor(want / size)).otherwise(0).cast("long"))
         found = found.withColumn("rest", want - F.col("rounds") * size).withColumn("slots", F.col("rounds") * F.col("blocks") + F.ceil(F.col("rest") / block))
-        found = found.withColumn("a", grid(F.col("blocks"))[0]).withColumn("b", grid(F.col("blocks"))[1])
+        # the last block may be short: permutations are over the full ones, and it comes after them, so that a part of a
+        # round has as many words as its slots
+        found = found.withColumn("full", F.greatest(F.lit(1), F.floor(size / block)))
+        found = found.withColumn("a", grid(F.col("full"))[0]).withColumn("b", grid(F.col("full"))[1])
         found = found.withColumn("first", F.coalesce(F.sum("slots").over(Window.orderBy(*KEY).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         self.sources = stored(found, "sources")
         self.total = self.sources.agg(F.sum("slots")).first()[0] or 0
@@ -105,8 +108,9 @@ class Mix:
         held = self.sources.where("slots > 0").select("*", part)
         drawn = spark.range(max(0, self.total)).withColumnRenamed("id", "slot").withColumn("at", permuted(F.col("slot"), n, F.lit(a), F.lit(-(-self.total // a) or 1), F.lit(self.seed))).withColumn("grain", F.floor(F.col("at") / grain))
         drawn = drawn.join(held, "grain").where("at >= first and at < first + slots").withColumn("k", F.col("at") - F.col("first"))
-        index = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("a"), F.col("b"), F.lit(self.seed + 1), F.floor(F.col("k") / F.col("blocks")), F.col("s_null"), F.col("s"))
-        drawn = drawn.withColumn("block", index).withColumn("length", F.least(F.lit(self.block), F.col("source_size") - F.col("block") * self.block))
+        nth = F.col("k") % F.col("blocks")
+        index = permuted(F.least(nth, F.col("full") - 1), F.col("full"), F.col("a"), F.col("b"), F.lit(self.seed + 1), F.floor(F.col("k") / F.col("blocks")), F.col("s_null"), F.col("s"))
+        drawn = drawn.withColumn("block", F.when(nth < F.col("full"), index).otherwise(nth)).withColumn("length", F.least(F.lit(self.block), F.col("source_size") - F.col("block") * self.block))
         last = (F.col("k") == F.col("slots") - 1) & (F.col("rest") > 0)
         cut = F.col("rest") - (F.col("slots") - 1 - F.col("rounds") * F.col("blocks")) * self.block
         return drawn.select(F.floor(F.col("slot") / self.shard).alias("shard"), "slot", *KEY, "block", F.when(last, F.least("length", cut)).otherwise(F.col("length")).alias("words"), (F.col("k") >= F.col("rounds") * F.col("blocks")).alias("partial"))
