@@ -12,12 +12,24 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch that goes to or comes from Python, about.
+BATCH_BYTES = 8_000_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_BYTES, where the session has no size of its own: Spark's default holds 64 MB at both ends."""
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+    if spark.conf.get(name) in (f"{default}b", str(default)):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under spark.checkpoint.dir, which driver and executors share. Its folder goes when the session's JVM ends.
 
     Where the setting is absent, a temporary folder becomes the checkpoint folder within one process (tests); on a
     cluster executors couldn't see it, so that is an error.
     """
+    small_batches(spark)
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:

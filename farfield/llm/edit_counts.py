@@ -12,6 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farfield.llm.common import small_batches
+
 #: In texts of these characters only, PIECE finds the same pre-tokens as the tokenizer's own pattern.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
@@ -171,5 +173,6 @@ def edit_counts(docs: DataFrame, edits_of: Callable[[str], list[Edit]] = mask_ed
                 rows.append((n, before, len(edits), tree.apply(edits)[1], tree.total))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in rows], type=pa.int64()) for i in range(5)]], names=names)
 
+    small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     return own.mapInArrow(count, ", ".join(f"{n} long" for n in names)).withColumnRenamed("id", id_col)

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farfield.llm.common import small_batches
+
 # Fixed values of HTML: elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -259,5 +261,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             out = [pa.array(texts, type=pa.string()), pa.array([len(t) for t in texts], type=pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *out], names=["id", "u", "text", "n_chars"])
 
+    small_batches(pages.sparkSession)
     own = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("u"), F.col(html_col).alias("h"))
     return own.mapInArrow(extract, "id long, u string, text string, n_chars long").withColumnsRenamed({"id": id_col, "u": url_col})

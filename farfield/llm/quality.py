@@ -58,7 +58,7 @@ def features(text: bytes) -> np.ndarray:
 def fit(rows: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float, float]:
     """Logistic regression by accelerated gradient steps: weights, intercept, and the log odds of good in the rows."""
     share = min(1 - 1e-3, max(1e-3, float(good.mean()) if len(good) else 0.5))
-    rows, good = rows.astype(np.float32), good.astype(np.float32)
+    rows, good = rows.astype(np.float32, copy=False), good.astype(np.float32)
     w, b = np.zeros(rows.shape[1], dtype=np.float32), np.float32(np.log(share / (1 - share)))
     v, c = w, b
     step = np.float32(4 * RATE * 4 / (float(np.einsum("ij,ij->", rows, rows)) / len(rows) + 1)) if len(rows) else 0
