@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from farfield.llm import edit_counts, lm_score, mixing, packing, quality
+from farfield.llm import edit_counts, html_text, lm_score, mixing, packing, quality
 from farfield.llm.blocks import make_blocks
 from farfield.llm.html_text import extract_pages, main_text
 from farfield.llm.quality import features, fit, judge
@@ -133,6 +133,58 @@ def test_article_is_only_evidence():
         assert set(b.strip() for b in body) <= set(got) and "first!" not in got
 
 
+ARTICLES = {
+    '<div class="content no-sidebar">%s</div>': [],
+    '<div class="page with-comments">%s</div>': [],
+    '<div class="social-studies">%s</div>': [],
+    "<form>%s</form>": [],
+    "<article><header><h1>Title here</h1><p class='byline'>By Me</p></header>%s<p>x <math><mi>a</mi></math> <label>L</label></p><footer>Tags: a</footer></article>": ["Title here", "By Me", "x a L"],
+    "<article><h3>Teaser</h3></article><div>%s</div>": ["Teaser"],
+    "<article>%s</article><div class='comments'><p>I think so too, really, as I said before, and so do many others.</p><p>ok</p></div>": [],
+    "<article>%s<section id='comments'><h3>Comments</h3><p>I think so too, really, as I said before.</p></section></article>": [],
+    "<main>%s</main><div><p>Sign up now for our mail and get news</p></div>": [],
+    "<div class='notice'>This site is under repair today.</div><article>%s</article>": [],
+}
+
+
+@pytest.mark.parametrize("page", ARTICLES)
+def test_articles_in_many_frames(page):
+    body = [f"Paragraph {k} of text that says a thing, and then some more. " * 3 for k in range(4)]
+    frame = "<html><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>%s<aside>Side text that goes on for a bit</aside><footer>About us and all rights</footer></body></html>"
+    got = main_text(frame % (page % "".join(f"<p>{b}</p>" for b in body))).split("\n")
+    assert [x for x in got if x.startswith("Paragraph")] == [b.strip() for b in body]
+    assert sorted(x for x in got if not x.startswith("Paragraph")) == sorted(ARTICLES[page])
+
+
+def test_ratios_decide(monkeypatch):
+    """Without the threshold of the ratios, menus come along."""
+    page = "<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav><article><h1>One</h1><p>A paragraph of text.</p></article>"
+    assert main_text(page) == "One\nA paragraph of text."
+    monkeypatch.setattr(html_text, "THRESHOLD", 0.0)
+    assert "Home" in main_text(page)
+
+
+def test_scores_by_the_formula():
+    """Smoothed log ratios and the threshold, computed by hand for a page without marks."""
+    lengths = [3, 40, 400, 2, 90, 0, 5, 900, 12, 1]
+    ratio = [math.log1p(n / 2) for n in lengths if n]  # one tag opens and closes each: the end falls to the next block
+    kernel = [math.exp(-(k**2) / 2) for k in range(-3, 4)]
+    padded = [ratio[0]] * 3 + ratio + [ratio[-1]] * 3
+    smooth = [sum(w * padded[i + k] for k, w in enumerate(kernel)) / sum(kernel) for i in range(len(ratio))]
+    assert np.allclose(html_text.smoothed(np.array(ratio)), smooth)
+    ordered = sorted(smooth)
+    middle = next(v for i, v in enumerate(ordered) if sum(ordered[: i + 1]) >= sum(ordered) / 2)
+    assert html_text.typical(np.array(smooth)) == pytest.approx(middle)
+
+
+def test_pages_without_rows_and_very_long_pages(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string, text string")
+    assert extract_pages(empty).collect() == []
+    blocks = [f"Block number {k} says something of some length here." for k in range(20_000)]
+    got = extract_pages(spark.createDataFrame([(1, "u", "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>")], "page_id long, url string, html string")).first()
+    assert got["text"].split("\n") == blocks
+
+
 def test_one_long_block_drops_no_others():
     short = [f"{k} says a few things. " * 9 for k in range(50)]
     page = "".join(f"<p>{b}</p>" for b in [*short[:25], "Very long text. " * 6250, *short[25:]])
@@ -342,8 +394,16 @@ def test_only_the_region_is_encoded_again():
     assert 0 < redone < 10 < tree.n
 
 
+def apply_edits(text, edits):
+    for start, end, new in sorted(edits, reverse=True):
+        text = text[:start] + new + text[end:]
+    return text
+
+
 def test_edit_counts_of_awkward_rows(awkward, nothing):
     encoding = edit_counts.Counter(edit_counts.vocabulary_path()).encoding
     got = edit_counts.edit_counts(awkward).collect()
+    edited = lambda t: "".join(c for c in apply_edits(t, edit_counts.mask_edits(t)))
+    assert Counter((r["doc_id"], r["n_edits"], r["n_tokens_edited"]) for r in got) == Counter((r["doc_id"], len(edit_counts.mask_edits(r["text"] or "")), len(encoding.encode_ordinary(edited(r["text"] or "")))) for r in awkward.collect())
     assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == Counter((r["doc_id"], len(encoding.encode_ordinary(r["text"] or ""))) for r in awkward.collect())
     assert edit_counts.edit_counts(nothing).count() == 0
