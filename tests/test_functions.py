@@ -117,3 +117,28 @@ def test_opl_fields(spark):
 def test_escape_round_trip(spark):
     assert one(spark, text.decode_escapes(F.lit("%4e2d%%6587% x%1f1f1%"))) == "中文 x🇱"
     assert one(spark, text.html_escape(F.lit("<a href='x'>&</a>"))) == "&lt;a href=&#39;x&#39;&gt;&amp;&lt;/a&gt;"
+
+
+def test_laea_and_mercator_by_known_points(spark):
+    """The published example of the European grid, and a point of the Mercator tiles' eastern edge."""
+    x, y = (one(spark, v) for v in crs.laea(F.lit(5.0), F.lit(50.0), 10.0, 52.0, 4321000.0, 3210000.0))
+    assert abs(x - 3962799.45) < 0.02 and abs(y - 2999718.85) < 0.02
+    x, y = (one(spark, v) for v in crs.mercator(F.lit(180.0), F.lit(60.0)))
+    assert abs(x - 20037508.3428) < 0.01 and abs(y - 8399737.8898) < 0.01
+
+
+@pytest.mark.parametrize(("lon", "lat"), [(10.0, 52.0), (30.0, 60.0), (-9.0, 38.0), (45.0, 35.0)])
+def test_pad_covers_the_distortion(spark, lon, lat):
+    """The pad is the largest relative error of a short map distance in any direction, and its safety."""
+    from farfield.functions.geodesy import geodesic_m
+
+    at = [one(spark, v) for v in crs.laea(F.lit(lon), F.lit(lat), 10.0, 52.0)]
+    worst = 0.0
+    for k in range(12):
+        lon2, lat2 = lon + 0.01 * math.sin(k * math.pi / 6), lat + 0.01 * math.cos(k * math.pi / 6)
+        to = [one(spark, v) for v in crs.laea(F.lit(lon2), F.lit(lat2), 10.0, 52.0)]
+        ground = one(spark, geodesic_m(F.lit(lon), F.lit(lat), F.lit(lon2), F.lit(lat2)))
+        scale = math.dist(at, to) / ground
+        worst = max(worst, scale - 1, 1 / scale - 1)
+    pad = one(spark, crs.laea_pad(F.lit(lon), F.lit(lat), 10.0, 52.0))
+    assert worst <= pad <= 1.15 * worst + 0.002 + 0.0005  # twelve directions may miss the worst by a seventh

@@ -182,3 +182,53 @@ def test_grid_shift_rules(spark):
     rows = spark.createDataFrame([(1000, 1005, 10), (1000, 1200, 10), (1000, 1005, 900), (1000, None, 0)], "o long, s long, m long")
     passed, blocking = checks.grid_shift(F.col("o"), F.col("s"), F.col("m"))
     assert [tuple(r) for r in rows.select(passed, blocking).collect()] == [(True, True), (False, True), (False, False), (False, True)]
+
+
+def test_tiles_hold_the_pixels(spark):
+    rng = np.random.default_rng(2)
+    cells = {(int(x), int(y)): int(v) for x, y, v in zip(rng.integers(0, 40, 300), rng.integers(0, 40, 300), rng.integers(0, 254, 300), strict=True)}
+    frame = spark.createDataFrame([(6, x, y, v) for (x, y), v in cells.items()], "z int, x long, y long, cls long")
+    got = pyramid.tiles(frame, 16).collect()
+    seen = {}
+    for r in got:
+        raw = np.frombuffer(bytes(r["blob"]), dtype=np.uint8).reshape(16, 16)
+        for y, x in zip(*np.nonzero(raw != 255), strict=True):
+            seen[r["tx"] * 16 + int(x), (63 - r["ty"]) * 16 + int(y)] = int(raw[y, x])
+    assert seen == cells and len(got) == len({(x // 16, y // 16) for x, y in cells})
+
+
+def test_sample_is_the_least_of_the_hashes(spark):
+    from farfield.plans.spatial import _sampled
+
+    cells = raster.frame(spark, 30, 30).withColumn("unit_id", F.col("row") % 3)
+    keys = [(r["unit_id"], r["h"], r["row"], r["col"]) for r in cells.select("*", F.xxhash64("row", "col", F.lit(7)).alias("h")).collect()]
+    want = {k for u in range(3) for k in sorted(k for k in keys if k[0] == u)[:5]}
+    assert {(r["unit_id"], r["row"], r["col"]) for r in _sampled(cells, 5).collect()} == {(u, r, c) for u, _, r, c in want}
+
+
+def test_rings_by_sums(spark):
+    rng = np.random.default_rng(5)
+    on = {(int(r), int(k)) for r, k in zip(rng.integers(0, 25, 150), rng.integers(0, 30, 150), strict=True)}
+    marked = spark.createDataFrame(sorted(on), "row long, col long")
+    centres = [(i, int(r), int(k)) for i, (r, k) in enumerate(zip(rng.integers(0, 25, 20), rng.integers(0, 30, 20), strict=True))]
+    for r_in, r_out in ((-1, 4), (0, 3), (3, 8), (2.5, 6.2)):
+        got = {r["id"]: (r["n"], r["hits"]) for r in raster.ring_density(spark.createDataFrame(centres, "id long, row long, col long"), marked, ["id"], r_in, r_out, 25, 30).collect()}
+        for i, r, k in centres:
+            ring = [(a, b) for a in range(25) for b in range(30) if (r_in < 0 or (a - r) ** 2 + (b - k) ** 2 > r_in**2) and (a - r) ** 2 + (b - k) ** 2 <= r_out**2]
+            assert got[i] == (len(ring), sum(x in on for x in ring))
+
+
+def test_fragments_follow_their_bodies(spark):
+    from farfield.operators.merging import merged_fragments
+
+    pieces = [(1, 50, 0, 0), (2, 5, 50, 0), (3, 3, 55, 2), (4, 3, 200, 200), (5, 3, 203, 203), (6, 40, 300, 0)]
+    got = merged_fragments(spark.createDataFrame(pieces, "id long, side long, x long, y long"), 10, 20).collect()
+    assert {r["id"]: r["body"] for r in got} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
+
+
+def test_list_structure(spark):
+    good = [(1, k, 100 - k, 0, 0, None) for k in range(1, 6)]
+    bad = {2: [(2, 1, 9, 0, 0, None), (2, 3, 8, 0, 0, None)], 3: [(3, 1, -1, 0, 0, None)] * 1, 4: [(4, 1, 9, 1800001, 0, None)], 5: [(5, 1, 9, 0, 0, 7), (5, 2, 9, 0, 0, 7)], 6: [(6, 1, 9, 0, 0, None)]}
+    rows = spark.createDataFrame(good + [r for v in bad.values() for r in v], "unit_id long, rank long, dist_cm long, lon_e4 long, lat_e4 long, island long")
+    got = {r["unit_id"]: r["passed"] for r in checks.list_structure(rows, ["unit_id"], 1, 1, -900000, 900000).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: False, 6: True}
