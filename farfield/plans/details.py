@@ -25,9 +25,12 @@ def query(name: str, sql: str | None = None):
 @query("p09_inside_fraction", with_views("units", "SELECT code, CAST(greatest(0, least(x0 + 40000, 130000) - greatest(x0, 30000)) AS BIGINT) * greatest(0, least(y0 + 40000, 150000) - greatest(y0, 10000)) * 2 >= 1600000000 AS inside FROM units"))
 def p09(spark, d):
     """Whether half of a unit's area lies in the primary region."""
-    across = F.greatest(F.lit(0), F.least(c("x0") + 40000, F.lit(130000)) - F.greatest("x0", F.lit(30000))).cast("long")
-    up = F.greatest(F.lit(0), F.least(c("y0") + 40000, F.lit(150000)) - F.greatest("y0", F.lit(10000)))
-    return fx.units(spark, d).select("code", (across * up * 2 >= 1600000000).alias("inside"))
+    from farfield.functions.clipping import area, in_box
+
+    corner = lambda x, y: F.struct((c("x0") + x).cast("double").alias("x"), (c("y0") + y).cast("double").alias("y"))
+    ring = F.array(corner(0, 0), corner(40000, 0), corner(40000, 40000), corner(0, 40000))
+    share = area(in_box(ring, 30000.0, 10000.0, 130000.0, 150000.0)) / area(ring)
+    return fx.units(spark, d).select("code", (share >= 0.5).alias("inside"))
 
 
 @query("p16_summary_key", with_views("points", "SELECT event_id, CASE WHEN island IS NULL THEN scenario || '_mainland' ELSE scenario END AS key FROM points"))

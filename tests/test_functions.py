@@ -142,3 +142,25 @@ def test_pad_covers_the_distortion(spark, lon, lat):
         worst = max(worst, scale - 1, 1 / scale - 1)
     pad = one(spark, crs.laea_pad(F.lit(lon), F.lit(lat), 10.0, 52.0))
     assert worst <= pad <= 1.15 * worst + 0.002 + 0.0005  # twelve directions may miss the worst by a seventh
+
+
+def test_clips_lose_no_area(spark):
+    """Star-shaped rings, cut at 180 degrees: the parts lie within the turn and have the ring's area together."""
+    import random
+
+    from farfield.functions import clipping
+
+    rng, rows = random.Random(3), []
+    for k in range(60):
+        at, n = rng.choice([0.0, 170.0, 180.0, -175.0, 200.0]), rng.randint(3, 12)
+        rows.append((k, [(at + rng.uniform(1, 40) * math.cos(2 * math.pi * i / n), rng.uniform(1, 40) * math.sin(2 * math.pi * i / n)) for i in range(n)]))
+    frame = spark.createDataFrame(rows, "id long, ring array<struct<x:double,y:double>>")
+    got = frame.select("id", clipping.area(F.col("ring")).alias("whole"), clipping.split_at_turn(F.col("ring")).alias("parts"))
+    got = got.select("*", F.transform("parts", clipping.area).alias("areas")).collect()
+    for r, (_, ring) in zip(sorted(got, key=lambda r: r["id"]), rows, strict=True):
+        shoelace = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))) / 2
+        assert r["whole"] == pytest.approx(shoelace) and sum(r["areas"]) == pytest.approx(shoelace)
+        assert all(-180 - 1e-9 <= p["x"] <= 180 + 1e-9 for part in r["parts"] for p in part)
+    triangle = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0.0, 0.0), (4.0, 0.0), (0.0, 4.0))])
+    assert one(spark, clipping.area(clipping.in_box(triangle, 0.0, 0.0, 2.0, 2.0))) == pytest.approx(4.0)
+    assert one(spark, F.size(clipping.in_box(triangle, 5.0, 5.0, 6.0, 6.0))) == 0
