@@ -153,7 +153,8 @@ def test_clips_lose_no_area(spark):
     rng, rows = random.Random(3), []
     for k in range(60):
         at, n = rng.choice([0.0, 170.0, 180.0, -175.0, 200.0]), rng.randint(3, 12)
-        rows.append((k, [(at + rng.uniform(1, 40) * math.cos(2 * math.pi * i / n), rng.uniform(1, 40) * math.sin(2 * math.pi * i / n)) for i in range(n)]))
+        radii = [rng.uniform(1, 40) for _ in range(n)]
+        rows.append((k, [(at + r * math.cos(2 * math.pi * i / n), r * math.sin(2 * math.pi * i / n)) for i, r in enumerate(radii)]))
     frame = spark.createDataFrame(rows, "id long, ring array<struct<x:double,y:double>>")
     got = frame.select("id", clipping.area(F.col("ring")).alias("whole"), clipping.split_at_turn(F.col("ring")).alias("parts"))
     got = got.select("*", F.transform("parts", clipping.area).alias("areas")).collect()
