@@ -106,10 +106,11 @@ def f11(spark, d):
     return fx.places(spark, d).select("place_id", text.fallback_name(english, F.when(c("place_id") % 3 == 0, c("name")), F.concat(F.lit("p"), c("place_id").cast("string"))).alias("name"))
 
 
-@query("f18_content_type", "SELECT * FROM (VALUES ('a/b.json', 'application/json'), ('x.png', 'image/png'), ('A.pmtiles', 'application/octet-stream'), ('none', 'application/octet-stream')) t(path, kind)")
+@query("f18_content_type", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'application/json' WHEN 1 THEN 'image/png' ELSE 'application/octet-stream' END AS kind FROM part")
 def f18(spark, d):
-    rows = spark.sql("SELECT * FROM VALUES ('a/b.json'), ('x.png'), ('A.pmtiles'), ('none') t(path)")
-    return rows.select("path", text.content_type(c("path")).alias("kind"))
+    suffix = F.element_at(F.array(*map(F.lit, (".json", ".png", ".pmtiles", ""))), (c("p_partkey") % 4 + 1).cast("int"))
+    path = F.concat(F.lit("r/"), F.replace("p_name", F.lit(" "), F.lit(".")), F.lit("x"), suffix)
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", text.content_type(path).alias("kind"))
 
 
 @query("f20_document_errors", with_views("points", "SELECT event_id, CASE WHEN dist_cm < 0 THEN 'dist' WHEN lat_e4 NOT BETWEEN -750000 AND 750000 THEN 'lat' WHEN lon_e4 NOT BETWEEN -1700000 AND 1700000 THEN 'lon' END AS first_error FROM points"))

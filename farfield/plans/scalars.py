@@ -22,6 +22,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
 def _literals(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
     values = ", ".join("(" + ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
@@ -92,9 +96,13 @@ def p19(spark, d):
     return _literals(spark, "ua", [(a[0],) for a in AGENTS]).select("ua", text.browser_family(c("ua")).alias("browser"), text.os_family(c("ua")).alias("os"))
 
 
-@query("p18_visitor_code", "SELECT * FROM (VALUES ('lt', NULL, 'LT'), ('us', 'ak', 'US-AK'), ('T1', 'x', ''), (NULL, 'x', ''), ('GB', 'TOOLONG', 'GB')) t(country, region, code)")
+_VISITS = "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN lower(substr(c_mktsegment, 1, 2)) WHEN 1 THEN 'T1' WHEN 3 THEN substr(c_mktsegment, 1, 2) END AS country, CASE c_custkey % 3 WHEN 0 THEN substr(c_mktsegment, 2, 2) || (c_nationkey % 10) WHEN 2 THEN 'TOOLONG' END AS region FROM customer"
+
+
+@query("p18_visitor_code", f"""SELECT c_custkey, CASE WHEN country IS NULL OR NOT regexp_full_match(upper(country), '[A-Z]{{2}}') THEN '' WHEN region IS NOT NULL AND regexp_full_match(upper(region), '[A-Z0-9]{{1,3}}') THEN upper(country) || '-' || upper(region) ELSE upper(country) END AS code FROM ({_VISITS})""")
 def p18b(spark, d):
-    return _literals(spark, "country, region", [("lt", None), ("us", "ak"), ("T1", "x"), (None, "x"), ("GB", "TOOLONG")]).withColumn("code", text.visitor_code(c("country"), c("region")))
+    rows = spark.sql(_VISITS.replace("FROM customer", "FROM {customer}"), customer=_table(spark, d, "customer"))
+    return rows.select("c_custkey", text.visitor_code(c("country"), c("region")).alias("code"))
 
 
 def _lon():
@@ -215,9 +223,10 @@ def f07(spark, d):
     return fx.points(spark, d).select("event_id", classes.col_threshold(c("dist_cm"), F.lit(30000), 0.5).alias("threshold"))
 
 
-@query("f10_clean_text", "SELECT * FROM (VALUES (1, NULL), (2, NULL), (3, 'a')) t(id, name)")
+@query("f10_clean_text", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 2 THEN s_name END AS name FROM supplier")
 def f10(spark, d):
-    return _literals(spark, "id, name", [(1, None), (2, "NaN"), (3, "a")]).select("id", text.clean(c("name")).alias("name"))
+    said = F.when(c("s_suppkey") % 3 == 0, F.lit("NaN")).when(c("s_suppkey") % 3 == 2, c("s_name"))
+    return _table(spark, d, "supplier").select("s_suppkey", text.clean(said).alias("name"))
 
 
 @query("f12_detail_stem", with_views("points", "SELECT event_id, printf('%s-%.6f_%.6f', scenario, lat_e4 / 10000.0, lon_e4 / 10000.0) AS stem FROM points"))
@@ -231,15 +240,20 @@ def f14(spark, d):
     return fx.points(spark, d).select("event_id", text.fmt_dist(c("dist_cm") * 3 % 90000).alias("said"))
 
 
-@query("f15_fmt_exact", "SELECT CAST(m AS DOUBLE) AS m, km, km2 FROM (VALUES (1234567.0, '1,234.57 km', '10 km²'), (50.0, '0.05 km', '0.1 km²'), (NULL, '', '')) t(m, km, km2)")
+@query("f15_fmt_exact", """SELECT p_partkey, coalesce(format('{:,}', cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || ' km', '') AS km,
+ CASE WHEN a IS NULL THEN '' WHEN a < 9.95 THEN CAST(tenths // 10 AS VARCHAR) || '.' || (tenths % 10) || ' km²' ELSE format('{:,}', CAST(floor(a + 0.5) AS BIGINT)) || ' km²' END AS km2
+ FROM (SELECT p_partkey, CAST(floor(m / 1000 * 100 + 0.5) AS BIGINT) AS cents, a, CAST(floor(a * 10 + 0.5) AS BIGINT) AS tenths FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 > 0 THEN p_retailprice * 1234.5::DOUBLE END AS m, CASE WHEN p_partkey % 5 > 0 THEN p_size * p_size * 0.37::DOUBLE END AS a FROM part))""")
 def f15(spark, d):
-    rows = spark.sql("SELECT * FROM VALUES (1234567.0D, 9.96D), (50.0D, 0.05D), (CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)) t(m, a)")
-    return rows.select("m", text.fmt_km_exact(c("m")).alias("km"), text.fmt_km2(c("a")).alias("km2"))
+    m, a = F.when(c("p_partkey") % 7 > 0, c("p_retailprice") * 1234.5), F.when(c("p_partkey") % 5 > 0, c("p_size") * c("p_size") * 0.37)
+    return _table(spark, d, "part").select("p_partkey", text.fmt_km_exact(m).alias("km"), text.fmt_km2(a).alias("km2"))
 
 
-@query("f16_flag", "SELECT * FROM (VALUES ('lt', '🇱🇹'), ('US', '🇺🇸'), ('us-ak', ''), ('', '')) t(code, flag)")
+@query("f16_flag", "SELECT c_custkey, CASE WHEN c_custkey % 3 < 2 THEN chr(127462 + ord(substr(c_mktsegment, 1, 1)) - 65) || chr(127462 + CAST(c_nationkey AS INTEGER) % 26) ELSE '' END AS flag FROM customer")
 def f16(spark, d):
-    return _literals(spark, "code", [("lt",), ("US",), ("us-ak",), ("",)]).select("code", text.flag(c("code")).alias("flag"))
+    """Two-letter codes in either case; others have none."""
+    code = F.concat(F.substring("c_mktsegment", 1, 1), F.chr(65 + c("c_nationkey") % 26))
+    code = F.when(c("c_custkey") % 3 == 0, F.lower(code)).when(c("c_custkey") % 3 == 1, code).otherwise(F.concat(code, F.lit("-x")))
+    return _table(spark, d, "customer").select("c_custkey", text.flag(code).alias("flag"))
 
 
 @query("f17_palette_band", f"WITH {_EDGES} SELECT row_number() OVER (ORDER BY e) - 1 AS cls, CASE WHEN e >= 50000 THEN 5 WHEN e >= 20000 THEN 4 WHEN e >= 10000 THEN 3 WHEN e >= 5000 THEN 2 WHEN e >= 2500 THEN 1 WHEN e >= 1000 THEN 0 END AS band FROM edges")
@@ -247,9 +261,10 @@ def f17(spark, d):
     return spark.range(254).select(c("id").alias("cls"), classes.palette_band(c("id").cast("int")).alias("band"))
 
 
-@query("f19_total_size", "SELECT header, CAST(total AS BIGINT) AS total FROM (VALUES ('bytes 0-99/1234', 1234), ('bytes 0-99/*', NULL), ('x', NULL)) t(header, total)")
+@query("f19_total_size", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS total FROM orders")
 def f19(spark, d):
-    return _literals(spark, "header", [("bytes 0-99/1234",), ("bytes 0-99/*",), ("x",)]).select("header", text.total_size(c("header")).alias("total"))
+    total = F.when(c("o_orderkey") % 10 == 5, "*").when(c("o_orderkey") % 10 == 0, "").otherwise(c("o_custkey").cast("string"))
+    return _table(spark, d, "orders").select("o_orderkey", text.total_size(F.concat(F.lit("bytes 0-99/"), total)).alias("total"))
 
 
 @query("f21_snapshot", with_views("points", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS snapshot FROM points"))
@@ -257,31 +272,43 @@ def f21(spark, d):
     return fx.points(spark, d).select("event_id", text.snapshot_id(c("ts")).alias("snapshot"))
 
 
-@query("x39_hex_rgb", "SELECT * FROM (VALUES ('#fff', [255, 255, 255]), ('#1a2b3c', [26, 43, 60])) t(color, rgb)")
+@query("x39_hex_rgb", """SELECT s_suppkey, list_transform([1, 3, 5], lambda k: CAST('0x' || substr(h, k, 2) AS INTEGER)) AS rgb FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN substr(md5(s_name), 1, 6)
+ ELSE repeat(substr(md5(s_name), 1, 1), 2) || repeat(substr(md5(s_name), 2, 1), 2) || repeat(substr(md5(s_name), 3, 1), 2) END AS h FROM supplier)""")
 def x39(spark, d):
-    return _literals(spark, "color", [("#fff",), ("#1a2b3c",)]).select("color", text.hex_rgb(c("color")).alias("rgb"))
+    """Colours of six digits, and of three."""
+    color = F.concat(F.lit("#"), F.when(c("s_suppkey") % 2 == 0, F.substring(F.md5("s_name"), 1, 6)).otherwise(F.substring(F.md5("s_name"), 1, 3)))
+    return _table(spark, d, "supplier").select("s_suppkey", text.hex_rgb(color).alias("rgb"))
 
 
-SUMS = [("d41d8cd98f00b204e9800998ecf8427e  file.pbf", "d41d8cd98f00b204e9800998ecf8427e"), ("MD5 (f) = D41D8CD98F00B204E9800998ECF8427E", "d41d8cd98f00b204e9800998ecf8427e"), ("nothing", "")]
 
 
-@query("s03_checksum", f"SELECT * FROM {_values(SUMS)} t(line, md5)")
+@query("s03_checksum", "SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 3 THEN '' ELSE md5(s_name) END AS md5 FROM supplier")
 def s03(spark, d):
-    return _literals(spark, "line", [(a,) for a, _ in SUMS]).select("line", text.checksum(c("line")).alias("md5"))
+    """Checksum lines: the digest first or last, in either case, or none."""
+    h = F.md5("s_name")
+    line = F.when(c("s_suppkey") % 4 == 0, F.concat(h, F.lit("  a-latest.osm.pbf"))).when(c("s_suppkey") % 4 == 1, F.concat(F.lit("MD5 (a) = "), F.upper(h))).when(c("s_suppkey") % 4 == 2, h).otherwise(F.concat(F.lit("x"), h))
+    return _table(spark, d, "supplier").select("s_suppkey", text.checksum(line).alias("md5"))
 
 
-@query("s15_opl_unescape", "SELECT * FROM (VALUES ('a%20%b', 'a b'), ('%2c%%3d%', ',='), ('caf%e9%', 'café'), ('%1f600%!', '😀!'), ('100%', '100%')) t(raw, said)")
+@query("s15_opl_unescape", "SELECT c_custkey, c_mktsegment || chr(CAST(code AS INTEGER)) || 'x%' || chr(CAST(c_nationkey + 32 AS INTEGER)) AS said FROM (SELECT *, CASE WHEN c_custkey * 97 % 120000 BETWEEN 55000 AND 57400 THEN 32 ELSE c_custkey * 97 % 120000 + 32 END AS code FROM customer)")
 def s15(spark, d):
-    return _literals(spark, "raw", [("a%20%b",), ("%2c%%3d%",), ("caf%e9%",), ("%1f600%!",), ("100%",)]).select("raw", text.decode_escapes(c("raw")).alias("said"))
+    """Escapes of code points of one to four bytes, beside a percent sign that is none."""
+    code = F.when((c("c_custkey") * 97 % 120000).between(55000, 57400), 32).otherwise(c("c_custkey") * 97 % 120000 + 32)
+    raw = F.concat(c("c_mktsegment"), F.lit("%"), F.lower(F.hex(code)), F.lit("%x%%"), F.hex(c("c_nationkey") + 32), F.lit("%"))
+    return _table(spark, d, "customer").select("c_custkey", text.decode_escapes(raw).alias("said"))
 
 
-@query("s16_opl_parse", "SELECT * FROM (VALUES (1, 'boundary', 'administrative', 3), (1, 'name', 'A=B', 3), (2, NULL, NULL, 0)) t(id, key, value, members)")
+@query("s16_opl_parse", """SELECT c_custkey AS id, key, value, CAST(CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 2 END AS BIGINT) AS members FROM customer, (VALUES ('type'), ('name')) t(key), LATERAL (SELECT CASE key WHEN 'type' THEN 'boundary' ELSE 'A=' || c_mktsegment || ', ' || c_nationkey END AS value)
+ WHERE c_custkey % 4 > 0 UNION ALL SELECT c_custkey, NULL, NULL, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 2 END FROM customer WHERE c_custkey % 4 = 0""")
 def s16(spark, d):
-    rows = _literals(spark, "id, tags, members", [(1, "boundary=administrative,name=A%3d%B", "w12@outer,w13@inner,n5@"), (2, "", "")])
-    rows = rows.select("id", F.explode_outer(text.parse_tags(c("tags"))).alias("key", "value"), F.size(text.parse_members(c("members"))).alias("members"))
-    return rows
+    """Tags and members out of their fields; empty fields have none."""
+    tags = F.when(c("c_custkey") % 4 > 0, F.concat(F.lit("type=old,type=boundary,name=A%3d%"), c("c_mktsegment"), F.lit("%2c%%20%"), c("c_nationkey"))).otherwise("")
+    members = F.when(c("c_custkey") % 3 > 0, F.concat(F.lit("w"), c("c_custkey"), F.lit("@outer,n5@"))).otherwise("")
+    rows = _table(spark, d, "customer").select(c("c_custkey").alias("id"), text.parse_tags(tags).alias("t"), F.size(text.parse_members(members)).cast("long").alias("members"))
+    return rows.select("id", F.explode_outer("t").alias("key", "value"), "members")
 
 
-@query("s19_poly_url", "SELECT 'http://example.org/a/b-latest.osm.pbf' AS url, 'http://example.org/a/b.poly' AS poly")
+@query("s19_poly_url", "SELECT c_custkey, 'http://example.org/' || lower(c_mktsegment) || '/u' || c_custkey || '.poly' AS poly FROM customer")
 def s19(spark, d):
-    return _literals(spark, "url", [("http://example.org/a/b-latest.osm.pbf",)]).select("url", text.poly_url(c("url")).alias("poly"))
+    url = F.concat(F.lit("http://example.org/"), F.lower("c_mktsegment"), F.lit("/u"), c("c_custkey"), F.lit("-latest.osm.pbf"))
+    return _table(spark, d, "customer").select("c_custkey", text.poly_url(url).alias("poly"))

@@ -481,10 +481,11 @@ def c08(spark, d):
     return raster.frame(spark, CELLS, CELLS).where(edge < 5)
 
 
-@query("j11_member_completeness", "SELECT area_id, CAST(members AS BIGINT) AS members, CAST(missing AS BIGINT) AS missing, complete FROM (VALUES (1, 2, 0, true), (2, 2, 1, false)) t(area_id, members, missing, complete)")
+@query("j11_member_completeness", "SELECT l_orderkey AS area_id, count(*) AS members, count(*) FILTER (WHERE p_partkey IS NULL) AS missing, count(*) FILTER (WHERE p_partkey IS NULL) = 0 AS complete FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size < 45) ON p_partkey = l_partkey GROUP BY 1")
 def j11(spark, d):
-    members = _literals(spark, "area_id, way_id", [(1, 10), (1, 11), (2, 12), (2, 99)])
-    return rings.completeness(members, _literals(spark, "way_id", [(10,), (11,), (12,)]))
+    """Relations whose member ways the extract has, and how many it lacks."""
+    members = spark.read.parquet(f"{d}/lineitem.parquet").select(c("l_orderkey").alias("area_id"), c("l_partkey").alias("way_id"))
+    return rings.completeness(members, spark.read.parquet(f"{d}/part.parquet").where("p_size < 45").select(c("p_partkey").alias("way_id")))
 
 
 @query("g20_ring_assembly", "SELECT area_id, CAST(ring AS BIGINT) AS ring, CAST(points AS BIGINT) AS points, closed FROM (VALUES (1, 0, 5, true), (2, 0, 3, false)) t(area_id, ring, points, closed)")

@@ -165,3 +165,16 @@ def test_clips_lose_no_area(spark):
     triangle = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0.0, 0.0), (4.0, 0.0), (0.0, 4.0))])
     assert one(spark, clipping.area(clipping.in_box(triangle, 0.0, 0.0, 2.0, 2.0))) == pytest.approx(4.0)
     assert one(spark, F.size(clipping.in_box(triangle, 5.0, 5.0, 6.0, 6.0))) == 0
+
+
+@pytest.mark.parametrize(
+    ("value", "want"),
+    [
+        (lambda: text.decode_escapes(F.lit("%1f600%!")), "😀!"), (lambda: text.decode_escapes(F.lit("caf%e9%")), "café"), (lambda: text.decode_escapes(F.lit("100%")), "100%"),
+        (lambda: text.flag(F.lit("lt")), "🇱🇹"), (lambda: text.flag(F.lit("us-ak")), ""), (lambda: text.total_size(F.lit("bytes 0-99/*")), None), (lambda: text.total_size(F.lit("x")), None),
+        (lambda: text.hex_rgb(F.lit("#fff")), [255, 255, 255]), (lambda: text.checksum(F.lit("nothing")), ""), (lambda: text.fmt_km_exact(F.lit(1234567.0)), "1,234.57 km"), (lambda: text.fmt_km2(F.lit(9.96)), "10 km²"),
+        (lambda: text.visitor_code(F.lit("us"), F.lit("ak")), "US-AK"), (lambda: text.content_type(F.lit("none")), "application/octet-stream"),
+    ],
+)
+def test_texts(spark, value, want):
+    assert one(spark, value()) == want
