@@ -387,13 +387,13 @@ def x29(spark, d):
     return rows.select("code", F.coalesce("ref", F.lit(-1).cast("long")).alias("ref"), c("ref").isNull().alias("placeholder"))
 
 
-@query("x30_verdicts", with_views("ranked", """SELECT scenario, unit_id, event_id, CASE WHEN passed THEN 'pass' WHEN tie THEN 'tie: equal maximum elsewhere' WHEN blocking THEN 'FAIL' ELSE 'warning' END AS verdict, row_number() OVER (ORDER BY unit_id, scenario, rank, event_id) AS line
+@query("x30_verdicts", with_views("ranked", """SELECT scenario, unit_id, event_id, CASE WHEN passed THEN 'pass' WHEN tie THEN 'tie: equal maximum elsewhere' WHEN blocking THEN 'FAIL' ELSE 'warning' END AS verdict, row_number() OVER (PARTITION BY unit_id ORDER BY scenario, rank, event_id) AS line
  FROM (SELECT *, dist_cm > 2000 AS passed, event_id % 7 = 0 AS tie, scenario = 'A' AS blocking FROM ranked WHERE excluded)"""))
 def x30(spark, d):
-    """What the report says of each withheld point, in its order (withheld points are few: a failing check each)."""
+    """What the report says of each withheld point, numbered as its unit's table has them."""
     rows = ranking.ranked(fx.points(spark, d)).where("excluded")
     verdict = F.when(c("dist_cm") > 2000, "pass").when(c("event_id") % 7 == 0, "tie: equal maximum elsewhere").when(c("scenario") == "A", "FAIL").otherwise("warning")
-    order = Window.orderBy("unit_id", "scenario", "rank", "event_id")
+    order = Window.partitionBy("unit_id").orderBy("scenario", "rank", "event_id")
     return rows.select("scenario", "unit_id", "event_id", verdict.alias("verdict"), F.row_number().over(order).cast("long").alias("line"))
 
 
