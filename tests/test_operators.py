@@ -161,6 +161,15 @@ def test_search_finds_what_refining_all_would(spark, cap):
     assert sum(refined) < len(rows)
 
 
+def test_search_takes_what_lies_below_the_last_band(spark):
+    # no cell is left after the first band (0.6 of 100), and two points are below its end
+    rows = [(1, k, 100.0 - k, False, 20.0 * k, 0.0, dist) for k, dist in enumerate((70.0, 30.0, 1.0))]
+    frame = spark.createDataFrame(rows, "unit long, cell long, upper double, island boolean, x double, y double, dist double")
+    refine = lambda cells: cells.select("unit", "cell").join(frame.select("unit", "cell", "x", "y", "dist"), ["unit", "cell"])
+    got = search.search_units(frame.select("unit", "cell", "upper", "island"), refine, ["unit"], 3, 12.0).collect()
+    assert sorted((r["rank"], r["cell"]) for r in got) == [(1, 0), (2, 1), (3, 2)]
+
+
 def test_labels_of_blocks():
     from farfield.operators.components import _label
 
