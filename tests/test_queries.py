@@ -66,7 +66,7 @@ def test_same_as_sql(spark, duck, name):
 
 
 #: Queries whose results over dense tables differed from their SQL.
-DENSE = ["t02_search", "c01_search_unit", "c02_refined_record", "c04_attributed_places", "v01_recheck", "c05_shifted_search"]
+DENSE = ["t02_search", "c01_search_unit", "c02_refined_record", "c04_attributed_places", "v01_recheck", "c05_shifted_search", "v04_grid_shift"]
 
 
 @pytest.mark.parametrize("name", DENSE)
