@@ -118,7 +118,7 @@ def drowned(tmp_path_factory):
 
 
 #: Queries that lost points below the last band's end.
-DROWNED = ["c01_search_unit", "c02_refined_record", "c04_attributed_places", "c05_shifted_search"]
+DROWNED = ["c01_search_unit", "c02_refined_record", "c04_attributed_places", "c05_shifted_search", "v04_grid_shift"]
 
 
 @pytest.mark.parametrize("name", DROWNED)
